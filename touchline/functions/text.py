@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 
 from touchline.functions import fixed_values as fixed
 
-_ZONE = r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)$"
-_ISO_STAMP = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"
+# Characters with the Unicode space property, plus the four separators of ASCII.
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# A date, or a date with a time and any offset; the first group leaves the offset out.
+_ISO_STAMP = (
+    r"^(\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,6})?)?)?)"
+    r"(?:(?<=:\d{2}|[.,]\d{1,6})(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?))?$"
+)
+_LEFT_SCORE = r"^\s*([+-]?\d+)\s* - (?:(?! - ).)*$"
+_BOTH_SCORES = r"^\s*[+-]?\d+\s* - \s*([+-]?\d+)\s*$"
 _DAY_MONTH = r"^\w+-(\w+) (\d+)"
 
 
 def strip_text(text: Column) -> Column:
-    """Trim every Unicode space at both ends; ``trim`` would leave no-break spaces."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    """Trim every Unicode space at both ends; plain ``trim`` would leave no-break spaces."""
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def is_blank(text: Column) -> Column:
@@ -39,24 +46,15 @@ def score_parts(score: Column) -> tuple[Column, Column]:
     Anything that is not exactly two parts gives two nulls. A bad left part
     voids the right one; a bad right part leaves the left one standing.
     """
-    parts = F.split(score, fixed.DASH)
-    whole = F.size(parts) == 2
-    left = F.when(whole, coerce_integer_text(parts[0]))
-    right = F.when(left.isNotNull(), coerce_integer_text(parts[1]))
+    left = F.regexp_extract(score, _LEFT_SCORE, 1).try_cast("bigint")
+    right = F.regexp_extract(score, _BOTH_SCORES, 1).try_cast("bigint")
     return left, right
 
 
-def coerce_integer_text(text: Column) -> Column:
-    """Digits with an optional sign, surrounding space allowed; else null."""
-    trimmed = strip_text(text)
-    return F.when(trimmed.rlike(r"^[+-]?\d+$"), trimmed.try_cast("bigint"))
-
-
 def iso_wall_clock(text: Column) -> Column:
     """Zero-padded ISO date or stamp as written; an offset is dropped, not applied."""
-    bare = F.when(F.length(text) > 16, F.regexp_replace(text, _ZONE, "")).otherwise(text)
-    bare = F.replace(bare, F.lit(","), F.lit("."))
-    return F.when(bare.rlike(_ISO_STAMP), bare.try_cast("timestamp_ntz"))
+    bare = F.regexp_extract(text, _ISO_STAMP, 1)
+    return F.translate(bare, ",", ".").try_cast("timestamp_ntz")
 
 
 def month_number(abbreviation: Column) -> Column:

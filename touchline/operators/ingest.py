@@ -13,141 +13,128 @@ from touchline.functions import text
 from touchline.schema import CANONICAL, GAME_DDL, RAW_RECORD_DDL
 
 UNPARSABLE = "record"
+_CORRUPT = "_corrupt"
+_RECORD_FIELDS = [
+    "league_name", "game_date", "game_time", "home_team", "away_team", "score", "game_type",
+    "date", "games", "type", "url", "status", "headers", "timestamp",
+]
 
 
 def parse_records(raw: DataFrame, content: str = "content") -> DataFrame:
-    """Add the parsed ``record``; it is null when the text is not a JSON object."""
-    is_object = F.try_parse_json(content).isNotNull() & F.ltrim(F.col(content)).startswith("{")
-    return raw.withColumn("record", F.when(is_object, F.from_json(F.col(content), RAW_RECORD_DDL)))
+    """Parse JSON objects into a ``record`` struct and name the ``shape`` of each.
 
-
-def is_flat(record: str = "record") -> Column:
-    """True for the flat shape, which names both its league and its date."""
-    return F.col(f"{record}.league_name").isNotNull() & F.col(f"{record}.game_date").isNotNull()
-
-
-def shape_of(record: str = "record") -> Column:
-    """``flat``, ``nested`` or ``unparsable``."""
-    return (
-        F.when(F.col(record).isNull(), "unparsable").when(is_flat(record), F.lit("flat")).otherwise(F.lit("nested"))
+    ``flat`` records name both their league and their date, others are
+    ``nested``; text the reader could not use is ``unparsable``. The parse is
+    put in a one-row ``inline``, so later filters cannot make it run twice.
+    """
+    record = F.from_json(F.col(content), f"{RAW_RECORD_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    others = [c for c in raw.columns if c != content]
+    names = [f"_{n}" for n in _names(RAW_RECORD_DDL)]
+    parsed = raw.select(*others, F.inline(F.array(record)).alias(*names, _CORRUPT))
+    shape = (
+        F.when(F.col(_CORRUPT).isNotNull(), "unparsable")
+        .when(F.col("_league_name").isNotNull() & F.col("_game_date").isNotNull(), "flat")
+        .otherwise("nested")
     )
+    fields = F.struct(*[F.col(f"_{n}").alias(n) for n in _RECORD_FIELDS])
+    return parsed.select(*others, shape.alias("shape"), fields.alias("record"))
 
 
-_LOOSE = (
-    "struct<date:string, home_team:string, away_team:string, home_score:bigint, away_score:bigint, "
-    "bad_score:boolean, league:string, time:string, url:string, type:string, status:string, "
-    "headers:string, timestamp:string>"
-)
-
-
-def _flat_game() -> Column:
-    """The flat shape renamed to canonical names, still as text."""
-    home, away = text.score_parts(F.col("record.score"))
-    return F.struct(
-        F.col("record.game_date").alias("date"),
-        F.col("record.home_team").alias("home_team"),
-        F.col("record.away_team").alias("away_team"),
-        home.alias("home_score"),
-        away.alias("away_score"),
-        F.lit(False).alias("bad_score"),
-        F.col("record.league_name").alias("league"),
-        F.col("record.game_time").alias("time"),
-        F.col("record.url").alias("url"),
-        F.col("record.game_type").alias("type"),
-        F.col("record.status").alias("status"),
-        F.col("record.headers").alias("headers"),
-        F.col("record.timestamp").alias("timestamp"),
-    ).cast(_LOOSE)
-
-
-def _nested_game(game: Column) -> Column:
-    """One element of the nested shape with the fields of its record."""
-    home, away = text.coerce_long(game["home_score"]), text.coerce_long(game["away_score"])
-    bad = (game["home_score"].isNotNull() & home.isNull()) | (game["away_score"].isNotNull() & away.isNull())
-    return F.struct(
-        F.col("record.date").alias("date"),
-        game["home_team"].alias("home_team"),
-        game["away_team"].alias("away_team"),
-        home.alias("home_score"),
-        away.alias("away_score"),
-        bad.alias("bad_score"),
-        game["league"].alias("league"),
-        game["time"].alias("time"),
-        F.col("record.url").alias("url"),
-        F.col("record.type").alias("type"),
-        F.col("record.status").alias("status"),
-        F.col("record.headers").alias("headers"),
-        F.col("record.timestamp").alias("timestamp"),
-    ).cast(_LOOSE)
+def _names(ddl: str) -> list[str]:
+    return [part.split()[0] for part in ddl.split(",")]
 
 
 def explode_games(parsed: DataFrame) -> DataFrame:
-    """One row per game of either shape, as a loose ``game`` struct.
+    """One row per game of either shape, as a ``game`` struct of loose fields.
 
-    Null elements are skipped. A record that is not JSON keeps one row with a
-    null game, so that it can be quarantined.
+    The flat shape is renamed to canonical names; the nested one takes the
+    fields of its record, which holds one game or a list. Null elements are
+    skipped. What cannot be read as a game keeps one row with shape
+    ``unparsable``, so that it can be quarantined.
     """
-    elements = F.filter(F.col("record.games"), lambda g: g.isNotNull())
-    nested = F.transform(elements, _nested_game)
-    games = (
-        F.when(F.col("record").isNull(), F.array(F.lit(None).cast(_LOOSE)))
-        .when(is_flat(), F.array(_flat_game()))
-        .otherwise(nested)
+    others = [c for c in parsed.columns if c not in ("record", "shape")]
+    fields = parsed.select(*others, "shape", *[F.col(f"record.{n}").alias(f"_{n}") for n in _RECORD_FIELDS])
+    listed = F.when(F.col("shape") == "nested", F.from_json("_games", f"array<{GAME_DDL}>"))
+    rows = fields.select("*", F.posexplode_outer(listed).alias("_pos", "g"))
+    no_list = F.col("_pos").isNull() & F.col("_games").isNotNull() & ~F.col("_games").rlike(r"^\[\s*\]$")
+    shape = F.when((F.col("shape") == "nested") & no_list, "unparsable").otherwise(F.col("shape"))
+    rows = rows.withColumn("shape", shape).where((F.col("shape") != "nested") | F.col("g").isNotNull())
+    home, away = text.score_parts(F.col("_score"))
+    nested_home, nested_away = text.coerce_long(F.col("g.home_score")), text.coerce_long(F.col("g.away_score"))
+    bad = (F.col("g.home_score").isNotNull() & nested_home.isNull()) | (
+        F.col("g.away_score").isNotNull() & nested_away.isNull()
+    )
+    flat = F.col("shape") == "flat"
+    either = lambda a, b: F.when(flat, F.col(a)).otherwise(F.col(b))
+    game = F.struct(
+        either("_game_date", "_date").alias("date"),
+        either("_home_team", "g.home_team").alias("home_team"),
+        either("_away_team", "g.away_team").alias("away_team"),
+        F.when(flat, home).otherwise(nested_home).alias("home_score"),
+        F.when(flat, away).otherwise(nested_away).alias("away_score"),
+        F.when(flat, F.lit(False)).otherwise(bad).alias("bad_score"),
+        either("_league_name", "g.league").alias("league"),
+        either("_game_time", "g.time").alias("time"),
+        F.col("_url").alias("url"),
+        either("_game_type", "_type").alias("type"),
+        F.col("_status").alias("status"),
+        F.col("_headers").alias("headers"),
+        F.col("_timestamp").alias("timestamp"),
     )
-    others = [c for c in parsed.columns if c != "record"]
-    return parsed.select(*others, shape_of().alias("shape"), F.explode(games).alias("game"))
+    return rows.select(*others, "shape", game.alias("game"))
 
 
 def clean_games(games: DataFrame, run_ts: str, year: int) -> DataFrame:
-    """Typed canonical columns and the list of failed rules per game.
+    """Typed canonical columns and the failed rules per game, comma-separated in ``errors``.
 
     ``run_ts`` stands for now and ``year`` for the current year, so a run can
     be repeated with the same result.
     """
     g = lambda name: F.col(f"game.{name}")
-    stamp = text.utc_stamp(g("timestamp"))
-    status = text.coerce_double(g("status"))
-    date = text.game_date(g("date"), year)
+    others = [c for c in games.columns if c not in ("game", "shape")]
+    typed = games.select(
+        *others,
+        "shape",
+        "game",
+        text.game_date(g("date"), year).alias("date"),
+        text.strip_text(g("home_team")).alias("home_team"),
+        text.strip_text(g("away_team")).alias("away_team"),
+        text.strip_text(g("league")).alias("league"),
+        text.coerce_double(g("status")).alias("status"),
+        text.utc_stamp(g("timestamp")).alias("timestamp"),
+    )
+    blank = lambda name: F.coalesce(F.col(name), F.lit("")) == ""
     rules = [
-        ("date", date.isNull()),
-        ("home_team", text.is_blank(g("home_team"))),
-        ("away_team", text.is_blank(g("away_team"))),
-        ("league", text.is_blank(g("league"))),
+        ("date", F.col("date").isNull()),
+        ("home_team", blank("home_team")),
+        ("away_team", blank("away_team")),
+        ("league", blank("league")),
         ("score", g("bad_score") | (g("home_score") < 0) | (g("away_score") < 0)),
         ("url", ~text.web_address_ok(g("url"))),
-        ("status", g("status").isNotNull() & ~F.coalesce(status.between(0, 1), F.lit(False))),
-        ("timestamp", g("timestamp").isNotNull() & stamp.isNull()),
+        ("status", g("status").isNotNull() & ~F.coalesce(F.col("status").between(0, 1), F.lit(False))),
+        ("timestamp", g("timestamp").isNotNull() & F.col("timestamp").isNull()),
     ]
-    failed = F.filter(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules]), lambda e: e.isNotNull())
-    errors = F.when(F.col("game").isNull(), F.array(F.lit(UNPARSABLE))).otherwise(failed)
-    values = {
-        "date": date,
-        "home_team": text.strip_text(g("home_team")),
-        "away_team": text.strip_text(g("away_team")),
-        "home_score": g("home_score"),
-        "away_score": g("away_score"),
-        "league": text.strip_text(g("league")),
-        "time": g("time"),
-        "url": g("url"),
-        "type": g("type"),
-        "status": status,
-        "headers": g("headers"),
-        "timestamp": F.coalesce(stamp, F.lit(run_ts).cast("timestamp_ntz")),
-    }
-    others = [c for c in games.columns if c not in ("game", "shape")]
-    return games.select(
-        *others, "shape", *[values[f.name].cast(f.dataType).alias(f.name) for f in CANONICAL], errors.alias("errors")
+    failed = F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in rules])
+    errors = F.when(F.col("shape") == "unparsable", F.lit(UNPARSABLE)).otherwise(failed)
+    kept = {name: g(name) for name in ("home_score", "away_score", "time", "url", "type", "headers")}
+    kept["timestamp"] = F.coalesce("timestamp", F.lit(run_ts).cast("timestamp_ntz"))
+    return typed.select(
+        *others,
+        "shape",
+        *[kept.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in CANONICAL],
+        errors.alias("errors"),
     )
 
 
 def valid_rows(cleaned: DataFrame) -> DataFrame:
     """Games that pass every rule, in the canonical schema."""
-    return cleaned.where(F.size("errors") == 0).select(*CANONICAL.names)
+    return cleaned.where(F.col("errors") == "").select(*CANONICAL.names)
 
 
 def quarantine_rows(cleaned: DataFrame) -> DataFrame:
     """Games that fail a rule, with the failed rules and whatever identifies the input."""
-    return cleaned.where(F.size("errors") > 0)
+    failed = cleaned.where(F.col("errors") != "")
+    return failed.withColumn("errors", F.split("errors", ","))
 
 
 def ingest(raw: DataFrame, run_ts: str, year: int, content: str = "content") -> DataFrame:

@@ -29,12 +29,11 @@ GAME_DDL = (
 )
 
 # Both raw shapes in one parse: the flat keys and the nested ones. ``games``
-# accepts a lone object as well, which the JSON reader wraps in an array.
+# stays JSON text, since it may hold one game or a list of them.
 RAW_RECORD_DDL = (
     "league_name string, game_date string, game_time string, home_team string, "
     "away_team string, score string, field string, game_type string, "
-    f"date string, games array<{GAME_DDL}>, "
-    "type string, url string, status string, headers string, timestamp string"
+    "date string, games string, type string, url string, status string, headers string, timestamp string"
 )
 
 LEDGER = T.StructType(
