@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from touchline.plans import ingest_queries, pair_queries, stat_queries  # noqa: F401
+from touchline.plans import date_queries, ingest_queries, pair_queries, stat_queries  # noqa: F401
 from touchline.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
