@@ -1,6 +1,13 @@
 """All registered queries."""
 
-from touchline.plans import date_queries, ingest_queries, pair_queries, stat_queries  # noqa: F401
+from touchline.plans import (  # noqa: F401
+    date_queries,
+    ingest_queries,
+    pair_queries,
+    quality_queries,
+    source_queries,
+    stat_queries,
+)
 from touchline.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,19 +34,28 @@ def json_documents(spark: SparkSession, path: str) -> DataFrame:
     return chosen.where(is_data_file(F.col("path")))
 
 
-def json_records(spark: SparkSession, path: str, ddl: str, whole_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+def json_records(
+    spark: SparkSession,
+    path: str,
+    ddl: str,
+    whole_limit: int = WHOLE_FILE_LIMIT,
+    keep: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """Records of files that hold JSON Lines or one JSON array, decided per file.
 
     A file up to ``whole_limit`` bytes is read whole and tried as lines, then
     as an array, which may span lines. Above it a file is read line by line in
     splits, so a big JSON Lines file is never held by one task; a line that is
     not JSON there fails the job instead of vanishing. File size is metadata,
-    so each branch opens its own files only.
+    so each branch opens its own files only. ``keep`` selects files by path;
+    the default is :func:`is_data_file`.
     """
+    keep = keep or is_data_file
+    chosen = keep(F.col("_metadata.file_path"))
     files = spark.read.option("recursiveFileLookup", True)
     size = F.col("_metadata.file_size")
-    whole = files.text(path, wholetext=True).where((size <= whole_limit) & is_data_file(F.col("_metadata.file_path")))
-    lines = files.text(path).where((size > whole_limit) & is_data_file(F.col("_metadata.file_path")))
+    whole = files.text(path, wholetext=True).where((size <= whole_limit) & chosen)
+    lines = files.text(path).where((size > whole_limit) & chosen)
 
     filled = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
     each = F.transform(filled, lambda line: F.when(_is_object(line), F.from_json(line, ddl)))
