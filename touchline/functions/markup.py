@@ -6,7 +6,8 @@ rows as cells; all mapping of cells to columns happens in Spark expressions.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 from touchline.functions import fixed_values as fixed
 
@@ -15,6 +16,17 @@ _VOID = {
     "link", "meta", "param", "source", "track", "wbr",
 }
 _NO_TEXT = {"script", "style"}
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in _NO_TEXT}
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)                       # comment
+      | <[!?][^>]*(?:>|\Z)                      # declaration
+      | <(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*)>
+      | (?P<text>[^<]+|<)                       # text, or a stray bracket
+    """,
+    re.VERBOSE | re.DOTALL,
+)
+_HAS_TABLE = re.compile(r"<table\b", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _ANCESTORS = 5
 
 
@@ -43,42 +55,44 @@ class Node:
         return [s for s in self.walk() if isinstance(s, str)]
 
 
-class _Tree(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("", {}, None)
-
-    def handle_starttag(self, tag, attrs):
-        seen = {}
-        for key, value in attrs:
-            seen[key] = value or ""
-        node = Node(tag, seen, self.here)
-        self.here.children.append(node)
-        if tag not in _VOID:
-            self.here = node
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.here = self.here.parent
-
-    def handle_endtag(self, tag):
-        node = self.here
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.here = node.parent
-
-    def handle_data(self, data):
-        if self.here.tag not in _NO_TEXT:
-            self.here.children.append(data)
-
-
 def parse(html: str) -> Node:
-    tree = _Tree()
-    tree.feed(html)
-    tree.close()
-    return tree.root
+    """Element tree of a page; unclosed elements end with their parent."""
+    root = here = Node("", {}, None)
+    position, size = 0, len(html)
+    while position < size:
+        token = _TOKEN.match(html, position)
+        position = token.end()
+        closing, tag, attributes, words = token.group("close", "tag", "attrs", "text")
+        if words is not None:
+            here.children.append(unescape(words) if "&" in words else words)
+        elif tag is None:
+            continue
+        elif closing:
+            tag = tag.lower()
+            node = here
+            while node is not None and node.tag != tag:
+                node = node.parent
+            if node is not None and node.parent is not None:
+                here = node.parent
+        else:
+            tag = tag.lower()
+            node = Node(tag, _attributes(attributes) if attributes else {}, here)
+            here.children.append(node)
+            if tag in _NO_TEXT:
+                end = _RAW_END[tag].search(html, position)
+                position = end.end() if end else size
+            elif tag not in _VOID:
+                here = node
+    return root
+
+
+def _attributes(written: str) -> dict[str, str]:
+    found = {}
+    for name, value in _ATTRIBUTE.findall(written):
+        if value[:1] in ("'", '"'):
+            value = value[1:-1]
+        found[name.lower()] = unescape(value) if "&" in value else value
+    return found
 
 
 def _tight(node: Node) -> str:
@@ -116,6 +130,8 @@ def _schedule_table(root: Node) -> Node | None:
 
 def schedule_rows(html: str):
     """(row number, labelled layout?, cells) below the header of the schedule table."""
+    if not _HAS_TABLE.search(html):
+        return
     table = _schedule_table(parse(html))
     if table is None:
         return

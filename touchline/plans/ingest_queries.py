@@ -154,15 +154,15 @@ _CHECKED = f"""{GAMES_SQL}, checked AS (
                               lambda e: e IS NOT NULL), '|') AS errors FROM games)"""
 
 
-@query(
-    "valid_rows",
-    f"""WITH {_CHECKED}
+VALID_GAMES_SQL = f"""{_CHECKED}, valid AS (
     SELECT {stamp_sql(DATE_SQL)} AS date, {trim_sql("home_team")} AS home_team, {trim_sql("away_team")} AS away_team,
            hs AS home_score, aws AS away_score, {trim_sql("league")} AS league, time, url, type,
            TRY_CAST(status AS DOUBLE) AS status, CAST(NULL AS VARCHAR) AS headers,
            {stamp_sql(f"coalesce({STAMP_SQL}, TIMESTAMP '{RUN_TS}')")} AS timestamp
-    FROM checked WHERE errors = ''""",
-)
+    FROM checked WHERE errors = '')"""
+
+
+@query("valid_rows", f"WITH {VALID_GAMES_SQL} SELECT * FROM valid")
 def valid_rows(spark, sf_dir):
     return ingest.valid_rows(_cleaned(spark, sf_dir))
 
