@@ -20,7 +20,7 @@ _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in _NO_TEXT}
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)                       # comment
       | <[!?][^>]*(?:>|\Z)                      # declaration
-      | <(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*)>
+      | <(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*+)>
       | (?P<text>[^<]+|<)                       # text, or a stray bracket
     """,
     re.VERBOSE | re.DOTALL,
@@ -46,13 +46,29 @@ class Node:
                 stack.extend(reversed(item.children))
 
     def all(self, tag):
-        return [n for n in self.walk() if isinstance(n, Node) and n.tag == tag]
+        """Descendants with a tag, in page order."""
+        found, stack = [], self.children[::-1]
+        while stack:
+            item = stack.pop()
+            if item.__class__ is Node:
+                if item.tag == tag:
+                    found.append(item)
+                stack += item.children[::-1]
+        return found
 
     def classes(self):
         return (self.attrs.get("class") or "").split()
 
     def strings(self):
-        return [s for s in self.walk() if isinstance(s, str)]
+        """Pieces of text, in page order."""
+        found, stack = [], self.children[::-1]
+        while stack:
+            item = stack.pop()
+            if item.__class__ is Node:
+                stack += item.children[::-1]
+            else:
+                found.append(item)
+        return found
 
 
 def parse(html: str) -> Node:
@@ -109,7 +125,8 @@ def _labelled(cell: Node) -> bool:
     label = fixed.CELL_LABEL_ATTRIBUTE
     if any(label in key for key in cell.attrs):
         return True
-    return any(label in part if isinstance(part, str) else label in " ".join(part.attrs) for part in cell.walk())
+    inner = [part.attrs for part in cell.walk() if isinstance(part, Node) and part.attrs]
+    return any(label in " ".join(attrs) for attrs in inner) or any(label in piece for piece in cell.strings())
 
 
 def _cells(row: Node, text) -> list[tuple[str, str]]:
