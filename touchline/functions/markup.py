@@ -53,7 +53,8 @@ class Node:
             if item.__class__ is Node:
                 if item.tag == tag:
                     found.append(item)
-                stack += item.children[::-1]
+                if item.children:
+                    stack += item.children[::-1]
         return found
 
     def classes(self):
@@ -61,6 +62,8 @@ class Node:
 
     def strings(self):
         """Pieces of text, in page order."""
+        if len(self.children) == 1 and self.children[0].__class__ is str:
+            return self.children
         found, stack = [], self.children[::-1]
         while stack:
             item = stack.pop()
@@ -122,15 +125,24 @@ def _loose(node: Node) -> str:
 
 
 def _labelled(cell: Node) -> bool:
+    """Whether the label mark occurs anywhere in the cell, tags and text included."""
     label = fixed.CELL_LABEL_ATTRIBUTE
-    if any(label in key for key in cell.attrs):
-        return True
-    inner = [part.attrs for part in cell.walk() if isinstance(part, Node) and part.attrs]
-    return any(label in " ".join(attrs) for attrs in inner) or any(label in piece for piece in cell.strings())
+    stack = [cell]
+    while stack:
+        item = stack.pop()
+        if item.__class__ is not Node:
+            if label in item:
+                return True
+        else:
+            if item.attrs and label in " ".join(item.attrs):
+                return True
+            stack += item.children
+    return False
 
 
-def _cells(row: Node, text) -> list[tuple[str, str]]:
-    return [((c.attrs.get(fixed.CELL_LABEL_ATTRIBUTE) or "").strip().lower(), text(c)) for c in row.all("td")]
+def _cells(found: list[Node], text) -> list[tuple[str, str]]:
+    label = fixed.CELL_LABEL_ATTRIBUTE
+    return [(c.attrs.get(label, "").strip().lower() if c.attrs else "", text(c)) for c in found]
 
 
 def _schedule_table(root: Node) -> Node | None:
@@ -157,7 +169,7 @@ def schedule_rows(html: str):
             continue
         found = row.all("td")
         if found:
-            yield number, _labelled(found[0]), _cells(row, _tight)
+            yield number, _labelled(found[0]), _cells(found, _tight)
 
 
 def _near_header(parent: Node | None) -> Node | None:
@@ -189,20 +201,20 @@ def event_rows(html: str):
     for owner in _owners_of(root, fixed.EVENTS_HEADER):
         table = _near_header(owner)
         for row in table.all("tr") if table is not None else []:
-            cells = _cells(row, _loose)
+            cells = row.all("td")
             if len(cells) >= 4:
                 number += 1
-                yield number, True, cells
+                yield number, True, _cells(cells, _loose)
     if number:
         return
     for table in root.all("table"):
         if fixed.BASE_TABLE_CLASS not in table.classes():
             continue
         for row in table.all("tr"):
-            cells = _cells(row, _loose)
+            cells = row.all("td")
             if len(cells) >= 4:
                 number += 1
-                yield number, False, cells
+                yield number, False, _cells(cells, _loose)
 
 
 def grid_rows(html: str):
@@ -211,7 +223,7 @@ def grid_rows(html: str):
         if isinstance(node, Node) and node.attrs.get("id") == fixed.GRID_TABLE_ID:
             for number, row in enumerate(node.all("tr")):
                 if not row.all("th"):
-                    yield number, False, _cells(row, _tight)
+                    yield number, False, _cells(row.all("td"), _tight)
             return
 
 

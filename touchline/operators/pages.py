@@ -45,20 +45,25 @@ def table_rows(pages: DataFrame, layout: str, html: str = "html") -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, _PAGES_AT_A_TIME):
                 part = batch.slice(start, _PAGES_AT_A_TIME)
-                origin, numbers, marks, cells = [], [], [], []
+                origin, numbers, marks, ends, labels, texts = [], [], [], [0], [], []
                 for index, page in enumerate(part.column(html).to_pylist()):
                     for number, mark, found in rows_of(page or ""):
                         origin.append(index)
                         numbers.append(number)
                         marks.append(mark)
-                        cells.append([{"label": label, "text": content} for label, content in found])
+                        labels += [label for label, _ in found]
+                        texts += [content for _, content in found]
+                        ends.append(len(texts))
+                cells = pa.StructArray.from_arrays(
+                    [pa.array(labels, pa.string()), pa.array(texts, pa.string())], fields=list(_CELL)
+                )
                 taken = [part.column(k).take(pa.array(origin, pa.int64())) for k in keys]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *taken,
                         pa.array(numbers, pa.int64()),
                         pa.array(marks, pa.bool_()),
-                        pa.array(cells, pa.list_(_CELL)),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cells),
                     ],
                     names=[*keys, "row_no", "marked", "cells"],
                 )
