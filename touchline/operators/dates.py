@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions import fixed_values as fixed
 from touchline.functions import text
-from touchline.operators.ledger import skip_done
+from touchline.operators.ledger import date_set, skip_done
 
 
 def _days(n: Column | str) -> Column:
@@ -111,7 +111,7 @@ def month_days(requests: DataFrame, month: str = "month_start", wanted: str = "t
 
 def missing_dates(ranges: DataFrame, data: DataFrame, date: str = "date") -> DataFrame:
     """Days of the ranges without data."""
-    return date_spine(ranges, name=date).join(data.select(date).distinct(), date, "left_anti")
+    return date_spine(ranges, name=date).join(date_set(data, date), date, "left_anti")
 
 
 def _coverage(checked: DataFrame, keys: list[str]) -> DataFrame:
@@ -130,9 +130,9 @@ def coverage_summary(ranges: DataFrame, data: DataFrame, keys: list[str]) -> Dat
 
     A range key must name one range, so its list is never longer than the range.
     """
-    present = data.select("date").distinct().withColumn("_has", F.lit(True))
-    checked = date_spine(ranges).join(present, "date", "left").withColumn("_present", F.col("_has").isNotNull())
-    return _coverage(checked, keys)
+    present = date_set(data).withColumnRenamed("date", "_has")
+    checked = date_spine(ranges).join(present, F.col("date") == F.col("_has"), "left")
+    return _coverage(checked.withColumn("_present", F.col("_has").isNotNull()), keys)
 
 
 def verify_results(ranges: DataFrame, results: DataFrame, data: DataFrame, keys: list[str]) -> DataFrame:

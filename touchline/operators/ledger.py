@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SUCCESS = "success"
 FAILED = "failed"
@@ -45,12 +46,23 @@ def conversion_status(updates: DataFrame, keys: list[str], order: str = "ts") ->
     )
 
 
+def date_set(df: DataFrame, date: str = "date") -> DataFrame:
+    """Distinct dates, ready to be looked up.
+
+    A date column has at most as many values as the calendar has days, however
+    many rows there are, so the set may be broadcast and the looked-up side
+    stays where it is. Other types have no such bound and are left to Spark.
+    """
+    days = df.select(date).distinct()
+    return F.broadcast(days) if isinstance(df.schema[date].dataType, T.DateType) else days
+
+
 def done_dates(ledger: DataFrame, stage: str | None = None) -> DataFrame:
     """Distinct dates recorded as successful."""
     done = ledger.where(F.col("status") == SUCCESS)
     if stage is not None:
         done = done.where(F.col("stage") == stage)
-    return done.select("date").distinct()
+    return date_set(done)
 
 
 def unprocessed_dates(ledger: DataFrame, before: str = "scraping", after: str = "processing") -> DataFrame:

@@ -93,6 +93,19 @@ def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _spans(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Extremes and number of values per column, in one pass over the table."""
+    parts = {"low": F.min, "high": F.max, "total": F.count}
+    wide = df.agg(
+        *[f(F.col(c).cast("double")).alias(f"{i}__{name}") for i, c in enumerate(columns) for name, f in parts.items()]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{i}__{name}").alias(name) for name in parts])
+        for i, c in enumerate(columns)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per column.
 
@@ -102,19 +115,19 @@ def exact_quantiles(df: DataFrame, columns: list[str], points: dict[str, float])
     parallel and the running sum streams, so memory does not grow with the
     number of distinct values.
     """
+    # One row per column, and at most _BINS rows per column: both are bounded
+    # by the schema, so they may be broadcast whatever the size of the table.
+    span = F.broadcast(_spans(df, columns))
     counts = value_counts(df, columns, "double")
-    span = counts.groupBy("column").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
-    )
     share = F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low"))
-    binned = counts.join(span, "column").withColumn(
-        "bin", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * _BINS), F.lit(_BINS - 1))
+    binned = counts.join(span, "column").select(
+        "column", "value", "n", "total", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * _BINS), F.lit(_BINS - 1)).alias("bin")
     )
     bins = binned.groupBy("column", "bin").agg(F.sum("n").alias("in_bin"))
     earlier = Window.partitionBy("column").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bins.select("column", "bin", F.coalesce(F.sum("in_bin").over(earlier), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("column", "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = binned.join(offsets, ["column", "bin"]).select(
+    placed = binned.join(F.broadcast(offsets), ["column", "bin"]).select(
         "column",
         "value",
         "total",

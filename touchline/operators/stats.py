@@ -107,10 +107,10 @@ def score_lines(df: DataFrame, k: int = 10, sides: Sides = CANONICAL_SIDES) -> D
     """Most frequent score lines with their share of all rows; unknown scores print ``nan``."""
     part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("nan"))
     line = F.concat(part(sides.home_score), F.lit("-"), part(sides.away_score))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counted = count_by(df, line.alias("score_line"))
+    total = counted.agg(F.sum("games").alias("n")).scalar()
     return (
-        count_by(df, line.alias("score_line"))
-        .orderBy(F.desc("games"), "score_line")
+        counted.orderBy(F.desc("games"), "score_line")
         .limit(k)
         .withColumn("pct", F.round(F.col("games") * 100.0 / total, 2))
     )
