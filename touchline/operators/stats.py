@@ -68,8 +68,8 @@ def team_totals(df: DataFrame, sides: Sides = CANONICAL_SIDES) -> DataFrame:
 
 
 def unique_sides(df: DataFrame, sides: Sides = CANONICAL_SIDES) -> DataFrame:
-    """Number of distinct names over both sides."""
-    names = df.select(F.col(sides.home).alias("team")).union(df.select(F.col(sides.away)))
+    """Number of distinct names over both sides, from one scan."""
+    names = df.select(F.explode(F.array(sides.home, sides.away)).alias("team"))
     return names.where(F.col("team").isNotNull()).distinct().agg(F.count(F.lit(1)).alias("unique_teams"))
 
 

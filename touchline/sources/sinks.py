@@ -122,7 +122,8 @@ def merge_months(
 
     The touched months are read as a short list (one entry per calendar month
     of the input), which prunes the scan of the stored table to those folders.
-    Applying the same input twice changes nothing.
+    Applying the same input twice changes nothing. The input is read twice, so
+    stage or persist it when it is costly to compute.
     """
     spark = incoming.sparkSession
     month = F.date_format(date, "yyyy-MM").alias("month")
