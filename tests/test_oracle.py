@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check_oracle import compare, connect
+from touchline.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, con, name):
     outcome, _rows = compare(spark, con, name, SF)
     assert outcome == "ok"
@@ -24,4 +25,5 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(contract.queries())
