@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from array import array
 
 import numpy as np
@@ -21,8 +22,11 @@ import pyarrow.compute as pc
 
 _WHITE = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _UNSAFE = rf"{_WHITE} (?:{_WHITE}|\z)"
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 600_000
 _KEPT_LENGTH = 64
+_BATCH_BYTES = 6 << 20
+_CALL_WORDS = 8192
+_SPACES_MEET = re.compile(r"\s\s|\s\Z")
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -66,6 +70,10 @@ class WordEncoder:
         self.tokenizer = library_tokenizer(definition)
         self.special = [t["content"] for t in parts.get("added_tokens", [])]
         self._joins_space = "ByteLevel" == (parts.get("pre_tokenizer") or {}).get("type")
+        # In a byte-level vocabulary the space is written as this letter; only a word's first token has it in front.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self._opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self._words: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +81,7 @@ class WordEncoder:
         texts = pc.fill_null(texts, "")
         if len(texts) == 0:
             return np.zeros(1, np.int64), np.zeros(0, np.uint32)
-        offsets, ids = self._by_word(texts)
+        offsets, ids = self._in_batches(texts)
         whole = np.flatnonzero(self._whole(texts).to_numpy(zero_copy_only=False))
         if len(whole) == 0:
             return offsets, ids
@@ -83,6 +91,18 @@ class WordEncoder:
         sizes = np.array([len(p) for p in parts], np.int64)
         return np.concatenate([[0], np.cumsum(sizes)]), np.concatenate(parts)
 
+    def _in_batches(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        offsets, ids, at = [np.zeros(1, np.int64)], [], 0
+        while at < len(texts):
+            begun = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, begun + _BATCH_BYTES, side="right")))
+            found, flat = self._by_word(texts.slice(at, stop - at))
+            offsets.append(found[1:] + offsets[-1][-1])
+            ids.append(flat)
+            at = stop
+        return np.concatenate(offsets), np.concatenate(ids)
+
     def _whole(self, texts: pa.Array) -> pa.Array:
         found = pc.match_substring_regex(texts, _UNSAFE)
         for name in self.special:
@@ -98,8 +118,9 @@ class WordEncoder:
         if self._joins_space:  # a word carries the space before it; the first of a text has none
             first, place = np.unique(codes[starts], return_inverse=True)
             codes[starts] = len(words) + place
-            words = [" " + w for w in words] + [words[c] for c in first]
-        found = self._lookup(words)
+            found = self._lookup([" " + w for w in words]) + self._lookup([words[c] for c in first])
+        else:
+            found = self._lookup(words)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         pool = np.frombuffer(b"".join(found), np.uint32)
         lengths = sizes[codes]
@@ -108,14 +129,25 @@ class WordEncoder:
         return ends[np.concatenate([starts, [len(codes)]])], ids
 
     def _lookup(self, words: list[str]) -> list[bytes]:
-        kept = self._words
+        kept, new = self._words, {}
         missing = [w for w in words if w not in kept]
-        if missing:
-            if len(kept) + len(missing) > _KEPT_WORDS:
-                kept.clear()
-                missing = words
-            got = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            new = {w: array("I", e.ids).tobytes() for w, e in zip(missing, got, strict=True)}
-            kept.update((w, v) for w, v in new.items() if len(w) <= _KEPT_LENGTH)
-            return [new[w] if w in new else kept[w] for w in words]
-        return [kept[w] for w in words]
+        if len(kept) + len(missing) > _KEPT_WORDS:
+            kept.clear()
+            missing = words
+        for at in range(0, len(missing), _CALL_WORDS):
+            part = missing[at : at + _CALL_WORDS]
+            new.update(zip(part, self._encode_words(part), strict=True))
+        kept.update((w, v) for w, v in new.items() if len(w) <= _KEPT_LENGTH)
+        return [new[w] if w in new else kept[w] for w in words] if new else [kept[w] for w in words]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word alone. Words that open with a space go to the library as one text and are told apart again."""
+        joined = "".join(words)
+        if self._joins_space and not _SPACES_MEET.search(joined):
+            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
+            starts = np.flatnonzero(self._opens[ids])
+            if len(starts) == len(words) > 0 and starts[0] == 0:
+                ends, flat = [*(4 * starts[1:]).tolist(), 4 * len(ids)], ids.tobytes()
+                return [flat[a:b] for a, b in zip((4 * starts).tolist(), ends, strict=True)]
+        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in got]
