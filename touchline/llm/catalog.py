@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm import bpe, packing, token_files, url_rules
+from touchline.llm import bpe, fingerprints, near_dup, packing, token_files, unit_dedup, url_rules
 from touchline.llm.common import table
 from touchline.sources.scratch import scratch_dir
 
@@ -26,10 +27,24 @@ def op1_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
 
 
+def op2_bottom_k_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op3_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    freed = unit_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return freed.select("doc_id", "text", "removed", F.size("removed").cast("bigint").alias("n_removed"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE), end_id=0)
 
 
+def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = near_dup.Rule(words=3, percent=85)  # fixed by the contract of the query
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), rule)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
@@ -43,9 +58,12 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_tree_bpe,
+        op2_bottom_k_fingerprint,
+        op3_unit_dedup,
         op4_best_fit_packing,
+        op5_minhash_near_dup,
         op6_url_filter,
         op8_token_files,
     )
 }
-ORACLES: dict[str, str] = {"op6_url_filter": url_rules.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op5_minhash_near_dup": near_dup.ORACLE_SQL, "op6_url_filter": url_rules.ORACLE_SQL}

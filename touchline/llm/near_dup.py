@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.llm.common import shuffle_width
 from touchline.llm.components import components
@@ -165,7 +166,7 @@ def bucket_keys(classes: DataFrame, rule: Rule) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(index, "bucket long, slot short, node long")
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(T.IntegerType())
 def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array((_marks(a) != _marks(b)).sum(axis=1).astype(np.int32))
 

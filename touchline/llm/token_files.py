@@ -24,8 +24,8 @@ from touchline.llm.tokens import encoder_for, read_definition
 SAMPLE_DOCS = 512
 SAMPLE_CHARS = 16_384
 DICTIONARY_BYTES = 65_536
+BLOCK_DOCS = 256
 BLOCK_BYTES = 1 << 20
-BLOCK_DOCS = 1024
 LEVEL = 3
 
 
@@ -40,7 +40,10 @@ def train_dictionary(
     import zstandard
 
     body = F.substring(F.coalesce(F.col(text), F.lit("")), 1, sample_chars)
+    share = min(1.0, 4 * sample_docs / max(1, docs.count()))
     chosen = docs.select(F.xxhash64(key).alias("__llm_rank"), body.alias("__llm_body"))
+    # The hash leaves about four times the sample, so what the tasks send to the driver does not grow with the table.
+    chosen = chosen.where(F.col("__llm_rank") <= min(2**63 - 1, int((share - 0.5) * 2**64)))
     rows = chosen.orderBy("__llm_rank", "__llm_body").limit(sample_docs).collect()
     if not rows:
         return b""
@@ -63,7 +66,7 @@ def write(
 
     A null text counts as empty; with ``end_id`` every document then still has
     that one id. Rows may repeat: equal keys stand side by side, ordered by
-    their ids. Null keys come first. An empty table writes no blocks.
+    their texts. Null keys come first. An empty table writes no blocks.
     """
     spark = docs.sparkSession
     definition = read_definition(tokenizer_path)
@@ -71,41 +74,29 @@ def write(
     name = dictionary_hash(dictionary)
     shared, model = spark.sparkContext.broadcast(dictionary), spark.sparkContext.broadcast(definition)
 
-    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
+        from pyspark import TaskContext
 
         trained = zstandard.ZstdCompressionDict(shared.value) if shared.value else None
         frames = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_dict_id=False)
+        last = np.array([] if end_id is None else [end_id], "<u4").tobytes()
+        part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             offsets, ids = encoder_for(model.value).encode(batch.column(1))
-            last = np.array([] if end_id is None else [end_id], "<u4").tobytes()
-            flat, spans = ids.astype("<u4", copy=False), zip(offsets[:-1], offsets[1:], strict=True)
-            coded = [frames.compress(flat[a:b].tobytes() + last) for a, b in spans]
-            sizes = np.diff(offsets) + (end_id is not None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(coded, pa.binary())], ["key", "n_ids", "frame"]
-            )
+            flat, sizes, at = ids.astype("<u4", copy=False), np.diff(offsets) + len(last) // 4, 0
+            held, size = [], 0
+            for row, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+                held.append(frames.compress(flat[a:b].tobytes() + last))
+                size += len(held[-1])
+                if len(held) == BLOCK_DOCS or size >= BLOCK_BYTES or row + 1 == len(sizes):
+                    own = sizes[at : row + 1]
+                    yield _block(part, before, batch.column(0).slice(at, len(own)), own, held, name)
+                    before, at, held, size = before + int(own.sum()), row + 1, [], 0
 
     kind = docs.schema[key].dataType.simpleString()
-    coded = docs.select(key, text).mapInArrow(compress, f"key {kind}, n_ids long, frame binary")
-    ordered = coded.repartitionByRange(shuffle_width(spark), "key", "n_ids", "frame")
-    ordered = ordered.sortWithinPartitions("key", "n_ids", "frame")
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, before, held, size = TaskContext.get().partitionId(), 0, [], 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.append(row)
-                size += len(row[2])
-                if size >= BLOCK_BYTES or len(held) == BLOCK_DOCS:
-                    yield _block(part, before, held, name, batch.schema.field("key").type)
-                    before, held, size = before + sum(r[1] for r in held), [], 0
-                key_type = batch.schema.field("key").type
-        if held:
-            yield _block(part, before, held, name, key_type)
-
+    # Texts are dealt out before they are encoded: finding the ranges reads them once more, but encodes nothing twice.
+    ordered = docs.select(key, text).repartitionByRange(shuffle_width(spark), key, text).sortWithinPartitions(key, text)
     index = f"array<struct<key:{kind},offset:bigint,length:bigint,n_ids:bigint>>"
     schema = f"part int, ids_before long, n_ids long, dictionary_hash string, index {index}, payload binary"
     ordered.mapInArrow(blocks, schema).write.parquet(f"{path}/blocks")
@@ -114,25 +105,20 @@ def write(
     )
 
 
-def _block(part: int, before: int, rows: list[tuple], name: str, key_type: pa.DataType) -> pa.RecordBatch:
-    lengths = np.array([len(r[2]) for r in rows], np.int64)
+def _block(part: int, before: int, keys: pa.Array, sizes: np.ndarray, frames: list[bytes], name: str) -> pa.RecordBatch:
+    lengths = np.array([len(f) for f in frames], np.int64)
     entries = pa.StructArray.from_arrays(
-        [
-            pa.array([r[0] for r in rows], key_type),
-            pa.array(np.cumsum(lengths) - lengths),
-            pa.array(lengths),
-            pa.array([r[1] for r in rows], pa.int64()),
-        ],
+        [keys, pa.array(np.cumsum(lengths) - lengths), pa.array(lengths), pa.array(sizes, pa.int64())],
         ["key", "offset", "length", "n_ids"],
     )
     return pa.RecordBatch.from_arrays(
         [
             pa.array([part], pa.int32()),
             pa.array([before], pa.int64()),
-            pa.array([sum(r[1] for r in rows)], pa.int64()),
+            pa.array([int(sizes.sum())], pa.int64()),
             pa.array([name]),
-            pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), entries),
-            pa.array([b"".join(r[2] for r in rows)], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([0, len(frames)], pa.int32()), entries),
+            pa.array([b"".join(frames)], pa.binary()),
         ],
         ["part", "ids_before", "n_ids", "dictionary_hash", "index", "payload"],
     )

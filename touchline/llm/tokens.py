@@ -14,7 +14,7 @@ import hashlib
 import json
 import os
 import re
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +22,12 @@ import pyarrow.compute as pc
 
 _WHITE = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _UNSAFE = rf"{_WHITE} (?:{_WHITE}|\z)"
-_KEPT_WORDS = 600_000
-_KEPT_LENGTH = 64
-_BATCH_BYTES = 6 << 20
-_CALL_WORDS = 8192
+_KEPT_WORDS = 2_500_000
+_KEPT_BYTES = 48 << 20
+_BATCH_BYTES = 12 << 20
+_CALL_WORDS = 16_384
 _SPACES_MEET = re.compile(r"\s\s|\s\Z")
+_SEPARATOR = "\x00"
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -70,11 +71,16 @@ class WordEncoder:
         self.tokenizer = library_tokenizer(definition)
         self.special = [t["content"] for t in parts.get("added_tokens", [])]
         self._joins_space = "ByteLevel" == (parts.get("pre_tokenizer") or {}).get("type")
-        # In a byte-level vocabulary the space is written as this letter; only a word's first token has it in front.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        # In a byte-level vocabulary the space is written as this letter; only a word's first token has it in front.
         self._opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self._opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self._words: dict[str, bytes] = {}
+        self._separator = self.tokenizer.encode(_SEPARATOR, add_special_tokens=False).ids
+        self._forget()
+
+    def _forget(self) -> None:
+        self._words, self._starts, self._sizes = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._pool = np.zeros(0, np.uint32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (one more than texts) and the ids of all texts, nulls as empty texts."""
@@ -113,41 +119,61 @@ class WordEncoder:
         split = pc.split_pattern(texts, " ")
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         distinct = split.flatten().dictionary_encode()
-        words, codes = distinct.dictionary.to_pylist(), distinct.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        words, codes = distinct.dictionary, distinct.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         starts = np.cumsum(counts) - counts
+        at, sizes, pool = self._known(words)
         if self._joins_space:  # a word carries the space before it; the first of a text has none
             first, place = np.unique(codes[starts], return_inverse=True)
             codes[starts] = len(words) + place
-            found = self._lookup([" " + w for w in words]) + self._lookup([words[c] for c in first])
-        else:
-            found = self._lookup(words)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        pool = np.frombuffer(b"".join(found), np.uint32)
+            more, ids = self._encode_alone(words.take(pa.array(first)).to_pylist())
+            at = np.concatenate([at, len(pool) + np.cumsum(more) - more])
+            sizes, pool = np.concatenate([sizes, more]), np.concatenate([pool, ids])
         lengths = sizes[codes]
-        ids = pool[ranges((np.cumsum(sizes) - sizes)[codes], lengths)]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        return ends[np.concatenate([starts, [len(codes)]])], ids
-
-    def _lookup(self, words: list[str]) -> list[bytes]:
-        kept, new = self._words, {}
-        missing = [w for w in words if w not in kept]
-        if len(kept) + len(missing) > _KEPT_WORDS:
-            kept.clear()
-            missing = words
-        for at in range(0, len(missing), _CALL_WORDS):
-            part = missing[at : at + _CALL_WORDS]
-            new.update(zip(part, self._encode_words(part), strict=True))
-        kept.update((w, v) for w, v in new.items() if len(w) <= _KEPT_LENGTH)
-        return [new[w] if w in new else kept[w] for w in words] if new else [kept[w] for w in words]
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word alone. Words that open with a space go to the library as one text and are told apart again."""
-        joined = "".join(words)
-        if self._joins_space and not _SPACES_MEET.search(joined):
+        return ends[np.concatenate([starts, [len(codes)]])], pool[ranges(at[codes], lengths)]
+
+    def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each word start in the pool, how many there are, and the pool."""
+        found = pc.index_in(words, value_set=self._words)
+        if len(self._words) + found.null_count > _KEPT_WORDS or self._words.nbytes > _KEPT_BYTES:
+            self._forget()
+            found = pc.index_in(words, value_set=self._words)
+        if found.null_count:
+            missing = words.filter(pc.is_null(found))
+            listed = missing.to_pylist()
+            parts = [self._encode_words(listed[i : i + _CALL_WORDS]) for i in range(0, len(listed), _CALL_WORDS)]
+            sizes = np.concatenate([p[0] for p in parts])
+            known = len(self._words)
+            self._starts = np.concatenate([self._starts, len(self._pool) + np.cumsum(sizes) - sizes])
+            self._sizes = np.concatenate([self._sizes, sizes])
+            self._pool = np.concatenate([self._pool, *(p[1] for p in parts)])
+            self._words = pa.concat_arrays([self._words, missing])
+            place = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            place[place < 0] = known + np.arange(len(missing))
+        else:
+            place = found.to_numpy(zero_copy_only=False)
+        return self._starts[place], self._sizes[place], self._pool
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of words as they stand inside a text. They go to the library as one text and are told apart again."""
+        if self._joins_space:
+            joined = " " + " ".join(words)
+            if not _SPACES_MEET.search(joined):
+                ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
+                starts = np.flatnonzero(self._opens[ids])
+                if len(starts) == len(words) and starts[0] == 0:
+                    return np.diff(np.append(starts, len(ids))), ids
+            return self._encode_alone([" " + w for w in words])
+        joined = f" {_SEPARATOR} ".join(words)
+        if len(self._separator) == 1 and joined.count(_SEPARATOR) == len(words) - 1:
             ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
-            starts = np.flatnonzero(self._opens[ids])
-            if len(starts) == len(words) > 0 and starts[0] == 0:
-                ends, flat = [*(4 * starts[1:]).tolist(), 4 * len(ids)], ids.tobytes()
-                return [flat[a:b] for a, b in zip((4 * starts).tolist(), ends, strict=True)]
-        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in got]
+            marks = ids == self._separator[0]
+            if marks.sum() == len(words) - 1:
+                ends = np.append(np.flatnonzero(marks), len(ids))
+                return np.diff(np.append(-1, ends)) - 1, ids[~marks]
+        return self._encode_alone(words)
+
+    def _encode_alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return sizes, np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum()))
