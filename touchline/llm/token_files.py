@@ -66,7 +66,7 @@ def write(
 
     A null text counts as empty; with ``end_id`` every document then still has
     that one id. Rows may repeat: equal keys stand side by side, ordered by
-    their texts. Null keys come first. An empty table writes no blocks.
+    a hash of their texts. Null keys come first. An empty table writes no blocks.
     """
     spark = docs.sparkSession
     definition = read_definition(tokenizer_path)
@@ -96,7 +96,9 @@ def write(
 
     kind = docs.schema[key].dataType.simpleString()
     # Texts are dealt out before they are encoded: finding the ranges reads them once more, but encodes nothing twice.
-    ordered = docs.select(key, text).repartitionByRange(shuffle_width(spark), key, text).sortWithinPartitions(key, text)
+    # The ranges' bounds go through the driver, so texts themselves are no part of the order.
+    order = [F.col(key), F.xxhash64(text)]
+    ordered = docs.select(key, text).repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order)
     index = f"array<struct<key:{kind},offset:bigint,length:bigint,n_ids:bigint>>"
     schema = f"part int, ids_before long, n_ids long, dictionary_hash string, index {index}, payload binary"
     ordered.mapInArrow(blocks, schema).write.parquet(f"{path}/blocks")
