@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import POSITION, part_of, positioned, row_in_part
 from touchline.llm.tokens import encoder_for, ranges, read_definition
+from touchline.sources.scratch import staged
 
 MAX_TOKENS = 2048
 
@@ -199,5 +200,6 @@ def pack_documents(
     docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: Capacity = Capacity(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The pieces of all documents with their sequence and their place in it."""
-    pieces = token_pieces(docs, tokenizer_path, end_id, capacity.tokens, key, text)
+    # Stored, because dealing them out reads them twice: once for the ranges, once for the rows.
+    pieces = staged(token_pieces(docs, tokenizer_path, end_id, capacity.tokens, key, text), "pieces")
     return pack(pieces, key, "piece", "ids_crc32", capacity=capacity)
