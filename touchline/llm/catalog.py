@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, fingerprints, near_dup, packing, token_files, unit_dedup, url_rules
+from touchline.llm import bpe, fingerprints, near_dup, neighbours, packing, quality, token_files, toxicity, unit_dedup, url_rules
 from touchline.llm.common import table
 from touchline.sources.scratch import scratch_dir
 
@@ -49,11 +49,23 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
 
+def op7_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "token-files")
     return token_files.digests(table(spark, sf_dir, "documents"), folder, tokenizer_file(BYTE_BPE), end_id=2)
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -63,7 +75,10 @@ QUERIES: dict[str, Query] = {
         op4_best_fit_packing,
         op5_minhash_near_dup,
         op6_url_filter,
+        op7_compression_toxicity,
         op8_token_files,
+        op9_nn_descent,
+        op10_ordinal_quality,
     )
 }
 ORACLES: dict[str, str] = {"op5_minhash_near_dup": near_dup.ORACLE_SQL, "op6_url_filter": url_rules.ORACLE_SQL}
