@@ -249,7 +249,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id"
     entries = [r[0] for r in nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).select("node").collect()]
     starts = asked.select(F.col("id").alias("query"), "node")
     if entries:
-        beyond = asked.select(F.col("id").alias("query"), F.explode(F.lit(entries)).cast("bigint").alias("node"))
+        beyond = asked.select(F.col("id").alias("query"), F.explode(F.lit(entries).cast("array<bigint>")).alias("node"))
         starts = starts.unionByName(beyond)
     found = walk(starts, queries, nodes, graph)
     scored = found.join(nodes.select("node", "vector", "ids"), "node")
