@@ -48,10 +48,27 @@ def test_fragments_of_unsplit_text_join_exactly(path):
     for _ in range(150):
         text = "".join(draw.choices(parts[: draw.choice([5, 9, len(parts)])], k=draw.randrange(1, 120)))
         leaves = list(bpe.leaves_of(text, definition, 6))
-        coded = [(kind, content, bpe.encode_leaf(kind, content, definition)) for kind, content in leaves]
+        coded = [(*leaf, ids) for leaf, ids in zip(leaves, bpe.encode_leaves(leaves, definition), strict=True)]
         assert bpe.join_leaves(coded, definition).tolist() == ids_of(tokenizer, text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_word_table_equals_the_library(path, monkeypatch):
+    import pyarrow as pa
+
+    from touchline.llm import tokens
+
+    monkeypatch.setattr(tokens, "_DIRECT_BYTES", 0)
+    tokenizer, draw = library(path), random.Random(9)
+    encoder = tokens.WordEncoder(read_definition(path))
+    parts = ["a", "The", " ", "\n", "  ", "\t", "x.", "é", "e\u0301", "\u00a0", "\x00", "<|endoftext|>", "ing ", "12 ", "'s", " ,"]
+    for _ in range(40):
+        texts = [None, "", *("".join(draw.choices(parts[: draw.choice([5, len(parts)])], k=draw.randrange(60))) for _ in range(30))]
+        offsets, ids = encoder.encode(pa.array(texts, pa.string()))
+        got = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        assert got == [ids_of(tokenizer, t) for t in texts]
+
+
 def test_op1_equals_the_library(spark):
     tokenizer = library(WORD)
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -149,12 +149,17 @@ def _ahead(text: str, words: int) -> int:
     return at
 
 
-def encode_leaf(kind: int, content: str, definition: str) -> np.ndarray:
-    """Ids of one leaf alone."""
-    if kind == _PLAIN:
-        return encoder_for(definition).encode(pa.array([content]))[1]
+def encode_leaves(leaves: list[tuple[int, str]], definition: str) -> list[np.ndarray]:
+    """Ids of each leaf alone."""
     _tokenizer, inner, final, _suffix = model_of(definition)
-    return np.array([t.id for t in (inner if kind == _INNER else final).tokenize(content)], np.uint32)
+    plain = [content for kind, content in leaves if kind == _PLAIN]
+    offsets, ids = encoder_for(definition).encode(pa.array(plain, pa.string()))
+    runs = iter(np.split(ids, offsets[1:-1]) if plain else [])
+    models = {_INNER: inner, _LAST: final}
+    return [
+        next(runs) if kind == _PLAIN else np.array([t.id for t in models[kind].tokenize(content)], np.uint32)
+        for kind, content in leaves
+    ]
 
 
 def join_leaves(leaves: list[tuple[int, str, np.ndarray]], definition: str) -> np.ndarray:
@@ -229,8 +234,7 @@ def _long_ids(long: DataFrame, text: str, ids: str, definition, leaf: int) -> Da
 
     @F.arrow_udf("array<int>")
     def one(kinds: pa.Array, contents: pa.Array) -> pa.Array:
-        pairs = zip(kinds.to_pylist(), contents.to_pylist(), strict=True)
-        got = [encode_leaf(kind, content, definition.value) for kind, content in pairs]
+        got = encode_leaves(list(zip(kinds.to_pylist(), contents.to_pylist(), strict=True)), definition.value)
         return _id_lists(np.cumsum([0, *map(len, got)]), np.concatenate([np.zeros(0, np.uint32), *got]))
 
     def join(key: tuple, rows: pa.Table) -> pa.Table:

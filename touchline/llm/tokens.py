@@ -26,6 +26,7 @@ _KEPT_WORDS = 2_500_000
 _KEPT_BYTES = 48 << 20
 _BATCH_BYTES = 12 << 20
 _CALL_WORDS = 16_384
+_DIRECT_BYTES = 1 << 17
 _SPACES_MEET = re.compile(r"\s\s|\s\Z")
 _SEPARATOR = "\x00"
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -87,6 +88,9 @@ class WordEncoder:
         texts = pc.fill_null(texts, "")
         if len(texts) == 0:
             return np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        if texts.nbytes < _DIRECT_BYTES:  # looking words up costs more than it saves
+            sizes, ids = self._encode_alone(texts.to_pylist())
+            return np.concatenate([[0], np.cumsum(sizes)]), ids
         offsets, ids = self._in_batches(texts)
         whole = np.flatnonzero(self._whole(texts).to_numpy(zero_copy_only=False))
         if len(whole) == 0:
