@@ -9,6 +9,8 @@ while a document has fewer than ``k`` of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,13 +26,20 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _SPACE), lambda w: w != "")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def shingles_of(words: Column, n: int = WORDS) -> Column:
     """Hashes of the runs of ``n`` words; a shorter text is one run, an empty one has none."""
-    last = F.size(words) - n
-    runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(n)]))
-    whole = F.array(F.xxhash64(F.array_join(words, " ")))
-    none = F.array().cast("array<bigint>")
-    return F.when(last >= 0, runs).when(F.size(words) > 0, whole).otherwise(none)
+
+    def runs(w: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(n)]))
+        whole = F.array(F.xxhash64(F.array_join(w, " ")))
+        return F.when(F.size(w) >= n, every).when(F.size(w) > 0, whole).otherwise(F.array().cast("array<bigint>"))
+
+    return _bound(words, runs)
 
 
 def bottom(hashes: Column, k: int = SIZE) -> Column:
