@@ -10,7 +10,7 @@ the threshold meets in a bucket. Links are then confirmed on the full sets.
 
 Groups of any size are handled without all their pairs. Documents with equal
 sets are one class. In a few rounds each class is compared with its nearest
-bucket head of another component. Only then are the remaining pairs looked at:
+bucket head of another component, each round in a few of the places. Only then are the remaining pairs looked at:
 pairs of different components, each in the first bucket it shares, large
 buckets in blocks. Pairs inside one component need no look, because they
 cannot change it.
@@ -35,7 +35,8 @@ from touchline.llm.tokens import ranges
 from touchline.sources.scratch import staged
 
 WIDTH = 128
-HEAD_ROUNDS = 4
+HEAD_ROUNDS = 5
+ROUND_SLOTS = 8
 BLOCK = 512
 _DEVIATIONS = 5
 _SEED = np.random.default_rng(20_240_601)
@@ -292,12 +293,14 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
 
     rows = labelled()
     for turn in range(HEAD_ROUNDS):
-        pairs = rows.join(mixed_buckets(rows, turn), "bucket").where("component <> of").select(F.col("node").alias("a"), "b")
+        # A few slots a round, so that a member of a large group meets a few heads and not one per bucket.
+        some = rows.where(F.col("slot") % (WIDTH // ROUND_SLOTS) == turn)
+        pairs = some.join(mixed_buckets(some, turn), "bucket").where("component <> of").select(F.col("node").alias("a"), "b")
         measured = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", _distance("mark_a", "mark_b").alias("d"))
         nearest = measured.where(F.col("d") <= rule.distance).groupBy("a").agg(F.min(F.struct("d", "b")).alias("s"))
         found = staged(confirm(nearest.select("a", "s.b"), bodies, rule), "links")
         if found.isEmpty():
-            break
+            continue
         links = links.unionByName(found)
         rows = labelled()
 
