@@ -26,22 +26,25 @@ def test_missing_table_is_empty_and_other_errors_raise(spark, tmp_path):
         files.scan_table(spark, str(tmp_path / "bad"), DDL).collect()
 
 
-@pytest.mark.parametrize("limit", [files.WHOLE_FILE_LIMIT, 40])
-def test_json_lines_and_arrays(spark, tmp_path, limit):
+def test_json_lines_documents_and_rejects(spark, tmp_path):
     rows = [{"id": i, "name": f"n{i}"} for i in range(5)]
-    write(tmp_path / "year=2025" / "a_games.jsonl", "\n".join(map(json.dumps, rows)) + "\n")
+    lines = list(map(json.dumps, rows))
+    write(tmp_path / "year=2025" / "a_games.jsonl", "\n".join(["", *lines[:2], "{broken", *lines[2:]]) + "\n")
     write(tmp_path / "year=2025" / "a_meta.json", json.dumps({"id": 99}))
-    if limit > 40:
-        write(tmp_path / "year=2025" / "b_games.jsonl", json.dumps([{"id": 7, "name": "x"}], indent=2))
-        write(tmp_path / "c.json", json.dumps({"id": 8, "name": "y"}, indent=2))
-    got = sorted(r.id for r in files.json_records(spark, str(tmp_path), DDL, limit).collect())
-    assert got == ([0, 1, 2, 3, 4, 7, 8] if limit > 40 else [0, 1, 2, 3, 4])
-
-
-def test_big_array_file_fails_loudly(spark, tmp_path):
-    write(tmp_path / "a.json", json.dumps([{"id": 7, "name": "x"}] * 5, indent=2))
-    with pytest.raises(Exception, match="not a line of JSON"):
-        files.json_records(spark, str(tmp_path), DDL, whole_limit=10).collect()
+    write(tmp_path / "year=2025" / "b_games.jsonl", json.dumps([{"id": 7, "name": "x"}, 5], indent=2))
+    write(tmp_path / "c.json", json.dumps({"id": 8, "name": "y"}, indent=2))
+    write(tmp_path / "d.json", "oops\n" + json.dumps({"id": 9}))
+    write(tmp_path / "e.json", "\n \n")
+    write(tmp_path / "f.json", '[{"id": 1')
+    got = sorted(r.id for r in files.json_records(spark, str(tmp_path), DDL).collect())
+    assert got == [0, 1, 2, 3, 4, 7, 8, 9]
+    rejects = files.json_rejects(spark, str(tmp_path)).collect()
+    found = sorted((r.path.rsplit("/", 1)[1], r.text, r.reason) for r in rejects)
+    wrong = files.NOT_AN_OBJECT
+    assert found == [
+        ("a_games.jsonl", "{broken", wrong), ("b_games.jsonl", "5", wrong), ("d.json", "oops", wrong),
+        ("e.json", "", files.EMPTY_FILE), ("f.json", '[{"id": 1', wrong),
+    ]
 
 
 def test_listing_rules(spark):
@@ -59,14 +62,15 @@ def test_listing_rules(spark):
     assert files.html_day_files(listing, limit=1).count() == 1
 
 
-def test_files_changed_strictly_after_the_marker(spark):
+def test_files_changed_strictly_after_the_marker_of_their_prefix(spark):
     at = lambda d: datetime(2025, 2, d)
-    listing = spark.createDataFrame([("a", at(1)), ("b", at(2)), ("c", at(28))], "key string, last_modified timestamp_ntz")
-    marker = spark.createDataFrame([(at(1),)], "marker timestamp_ntz")
+    rows = [("a", "p", at(1)), ("b", "p", at(2)), ("c", "q", at(10)), ("d", "q", at(21)), ("e", "r", at(26)), ("f", "r", at(28)), ("g", None, at(28))]
+    listing = spark.createDataFrame(rows, "key string, prefix string, last_modified timestamp_ntz")
+    marker = spark.createDataFrame([("p", at(1)), ("q", at(20))], "prefix string, marker timestamp_ntz")
     changed = lambda m, **k: sorted(r.key for r in files.changed_since(listing, m, "2025-03-01 12:00:00", **k).collect())
-    assert changed(marker) == ["b", "c"]
-    assert changed(marker.limit(0)) == ["c"]
-    assert changed(marker, only_recent=False) == ["a", "b", "c"]
+    assert changed(marker) == ["b", "d", "f", "g"]
+    assert changed(marker.limit(0)) == ["f", "g"]
+    assert changed(marker, only_recent=False) == list("abcdefg")
 
 
 def test_sample_is_exact(spark):

@@ -13,6 +13,7 @@ from touchline.functions import text
 from touchline.schema import CANONICAL, GAME_DDL, RAW_RECORD_DDL
 
 UNPARSABLE = "record"
+EMPTY = "empty"
 _CORRUPT = "_corrupt"
 _RECORD_FIELDS = [
     "league_name", "game_date", "game_time", "home_team", "away_team", "score", "game_type",
@@ -23,19 +24,18 @@ _RECORD_FIELDS = [
 def parse_records(raw: DataFrame, content: str = "content") -> DataFrame:
     """Parse JSON objects into a ``record`` struct and name the ``shape`` of each.
 
-    ``flat`` records name both their league and their date, others are
-    ``nested``; text the reader could not use is ``unparsable``. The parse is
-    put in a one-row ``inline``, so later filters cannot make it run twice.
+    ``flat`` records have the keys of both their league and their date, also
+    with null values; others are ``nested``; text the reader could not use is
+    ``unparsable``. The parse is put in a one-row ``inline``, so later filters
+    cannot make it run twice.
     """
     record = F.from_json(F.col(content), f"{RAW_RECORD_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    keys = F.json_object_keys(content)
+    flat = F.array_contains(keys, "league_name") & F.array_contains(keys, "game_date")
     others = [c for c in raw.columns if c != content]
     names = [f"_{n}" for n in _names(RAW_RECORD_DDL)]
-    parsed = raw.select(*others, F.inline(F.array(record)).alias(*names, _CORRUPT))
-    shape = (
-        F.when(F.col(_CORRUPT).isNotNull(), "unparsable")
-        .when(F.col("_league_name").isNotNull() & F.col("_game_date").isNotNull(), "flat")
-        .otherwise("nested")
-    )
+    parsed = raw.select(*others, F.coalesce(flat, F.lit(False)).alias("_flat"), F.inline(F.array(record)).alias(*names, _CORRUPT))
+    shape = F.when(F.col(_CORRUPT).isNotNull(), "unparsable").when(F.col("_flat"), "flat").otherwise("nested")
     fields = F.struct(*[F.col(f"_{n}").alias(n) for n in _RECORD_FIELDS])
     return parsed.select(*others, shape.alias("shape"), fields.alias("record"))
 
@@ -48,17 +48,22 @@ def explode_games(parsed: DataFrame) -> DataFrame:
     """One row per game of either shape, as a ``game`` struct of loose fields.
 
     The flat shape is renamed to canonical names; the nested one takes the
-    fields of its record, which holds one game or a list. Null elements are
-    skipped. What cannot be read as a game keeps one row with shape
+    fields of its record, which holds one game or a list. Each element is read
+    alone, so a bad one costs no other. Every input leaves a row: null
+    elements are skipped, but a list without any game keeps one row with shape
+    ``empty``, and whatever cannot be read as a game keeps one with shape
     ``unparsable``, so that it can be quarantined.
     """
     others = [c for c in parsed.columns if c not in ("record", "shape")]
     fields = parsed.select(*others, "shape", *[F.col(f"record.{n}").alias(f"_{n}") for n in _RECORD_FIELDS])
-    listed = F.when(F.col("shape") == "nested", F.from_json("_games", f"array<{GAME_DDL}>"))
-    rows = fields.select("*", F.posexplode_outer(listed).alias("_pos", "g"))
-    no_list = F.col("_pos").isNull() & F.col("_games").isNotNull() & ~F.col("_games").rlike(r"^\[\s*\]$")
-    shape = F.when((F.col("shape") == "nested") & no_list, "unparsable").otherwise(F.col("shape"))
-    rows = rows.withColumn("shape", shape).where((F.col("shape") != "nested") | F.col("g").isNotNull())
+    body = F.trim("_games")
+    many = F.filter(F.from_json("_games", "array<string>"), lambda e: e.isNotNull())
+    listed = F.when(F.col("shape") == "nested", F.when(body.startswith("["), many).otherwise(F.array("_games")))
+    rows = fields.select("*", F.posexplode_outer(listed).alias("_pos", "_game"))
+    rows = rows.withColumn("g", F.when(F.ltrim("_game").startswith("{"), F.from_json("_game", GAME_DDL)))
+    nothing = F.col("_pos").isNull() & body.startswith("[") & body.endswith("]")
+    nested = F.when(F.coalesce(nothing, F.lit(False)), "empty").when(F.col("g").isNull(), "unparsable").otherwise("nested")
+    rows = rows.withColumn("shape", F.when(F.col("shape") == "nested", nested).otherwise(F.col("shape")))
     home, away = text.score_parts(F.col("_score"))
     nested_home, nested_away = text.coerce_long(F.col("g.home_score")), text.coerce_long(F.col("g.away_score"))
     bad = (F.col("g.home_score").isNotNull() & nested_home.isNull()) | (
@@ -128,12 +133,12 @@ def clean_games(games: DataFrame, run_ts: str, year: int) -> DataFrame:
 
 def valid_rows(cleaned: DataFrame) -> DataFrame:
     """Games that pass every rule, in the canonical schema."""
-    return cleaned.where(F.col("errors") == "").select(*CANONICAL.names)
+    return cleaned.where((F.col("errors") == "") & (F.col("shape") != EMPTY)).select(*CANONICAL.names)
 
 
 def quarantine_rows(cleaned: DataFrame) -> DataFrame:
     """Games that fail a rule, with the failed rules and whatever identifies the input."""
-    failed = cleaned.where(F.col("errors") != "")
+    failed = cleaned.where((F.col("errors") != "") & (F.col("shape") != EMPTY))
     return failed.withColumn("errors", F.split("errors", ","))
 
 
@@ -142,6 +147,16 @@ def ingest(raw: DataFrame, run_ts: str, year: int, content: str = "content") ->
     return clean_games(explode_games(parse_records(raw, content)), run_ts, year)
 
 
+def balance(cleaned: DataFrame, *keys: str) -> DataFrame:
+    """Rows per key: valid games, quarantined ones, and inputs whose list of games is empty."""
+    empty = F.col("shape") == EMPTY
+    return cleaned.groupBy(*keys).agg(
+        F.count_if((F.col("errors") == "") & ~empty).alias("valid"),
+        F.count_if((F.col("errors") != "") & ~empty).alias("quarantined"),
+        F.count_if(empty).alias("empty"),
+    )
+
+
 # Day files of the older layouts: a document per file, dated by its name.
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.plans.tables import table
-from touchline.sources.scratch import spread
 
 _NBSP = " "
 _DAY = "CAST(CAST(l_shipdate AS DATE) AS STRING)"
@@ -68,7 +67,7 @@ STAMP_SQL = """CASE WHEN stamp LIKE '%.250000+02:00' THEN CAST(replace(substr(st
 
 def record_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw values as columns."""
-    lines = spread(table(spark, sf_dir, "lineitem").drop("l_discount", "l_tax"))
+    lines = table(spark, sf_dir, "lineitem").drop("l_discount", "l_tax").hint("rebalance")
     return lines.selectExpr(*_RECORD_KEYS, *[f"{rule} AS {name}" for name, rule in RECORD_FIELDS.items()])
 
 

@@ -177,6 +177,38 @@ def quarantine_rows(spark, sf_dir):
     return ingest.quarantine_rows(_cleaned(spark, sf_dir)).select(*_KEYS, "shape", "errors")
 
 
+_MIXED = {
+    0: """{"league_name": "L", "game_date": "2025-01-02", "home_team": "A", "away_team": "B", "score": "1 - 0"}""",
+    1: """{"league_name": null, "game_date": "2025-01-02", "home_team": "A", "away_team": "B"}""",
+    2: """{"date": "2025-01-02", "games": [{"home_team": "A", "away_team": "B", "league": "L"}, 5]}""",
+    3: """{"date": "2025-01-02", "games": []}""",
+    4: "",
+    5: """{"date": "2025-01-02"}""",
+    6: """{"date": "2025-01-02", "games": [null, {"home_team": "A", "away_team": "B", "league": "L"}]}""",
+    7: """{"date": "2025-""",
+    8: """{"date": "2025-01-02", "games": {"home_team": "A", "away_team": "B", "league": "L", "home_score": "x"}}""",
+}
+
+
+@query(
+    "ingest_balance",
+    """SELECT o_orderkey % 9 AS kind, count(DISTINCT o_orderkey) AS inputs,
+           CASE WHEN o_orderkey % 9 IN (0, 2, 6) THEN count(*) ELSE 0 END AS valid,
+           CASE WHEN o_orderkey % 9 IN (1, 2, 4, 5, 7, 8) THEN count(*) ELSE 0 END AS quarantined,
+           CASE WHEN o_orderkey % 9 = 3 THEN count(*) ELSE 0 END AS empty
+    FROM orders GROUP BY 1""",
+)
+def ingest_balance(spark, sf_dir):
+    """Nothing is lost: every kind of input ends up as games, in quarantine, or as an empty list."""
+    kind = F.col("o_orderkey") % len(_MIXED)
+    raw = table(spark, sf_dir, "orders").select(
+        "o_orderkey", kind.alias("kind"), F.get(F.lit(list(_MIXED.values())), kind.cast("int")).alias("content")
+    )
+    cleaned = ingest.ingest(raw, RUN_TS, YEAR)
+    inputs = cleaned.groupBy("kind").agg(F.count_distinct("o_orderkey").alias("inputs"))
+    return inputs.join(ingest.balance(cleaned, "kind"), "kind")
+
+
 @query(
     "coerce_numeric",
     f"""WITH {RECORDS_SQL}

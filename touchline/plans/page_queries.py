@@ -14,7 +14,6 @@ from touchline.functions import text
 from touchline.operators import pages
 from touchline.plans.registry import query
 from touchline.plans.tables import table
-from touchline.sources.scratch import spread
 
 _FIELDS = {
     "a": "'Side ' || CAST(o_custkey % 40 AS STRING) || ' & Co'",
@@ -34,7 +33,7 @@ _PAGES_SQL = "p AS (SELECT o_orderkey, o_orderdate, {} FROM orders)".format(
 
 def _fields(spark, sf_dir) -> DataFrame:
     columns = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    orders = spread(table(spark, sf_dir, "orders").select(*columns))
+    orders = table(spark, sf_dir, "orders").select(*columns).hint("rebalance")
     return orders.selectExpr("o_orderkey", "o_orderdate", *[f"{rule} AS {name}" for name, rule in _FIELDS.items()])
 
 

@@ -107,20 +107,48 @@ def _array_lines(batches):
         yield pa.RecordBatch.from_arrays([pa.array(["]"], pa.string())], names=["value"])
 
 
-@query(
-    "json_lines_or_array",
-    f"SELECT event_id, {stamp_sql('ts')} AS ts, user_id, event_type, value FROM events",
-)
-def json_lines_or_array(spark, sf_dir):
+def _json_feed(spark, sf_dir, damaged=False):
+    """Files of lines and of indented arrays; if ``damaged``, with broken lines between good ones and broken documents."""
     path = scratch_dir(spark, "feed")
     events = table(spark, sf_dir, "events").drop("props")
     events = events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    row = F.to_json(F.struct("*"))
+    if damaged:
+        row = F.when(F.col("event_id") % 7 == 3, F.concat(F.lit("x"), row)).otherwise(row)
     as_lines = F.col("event_type").isin("view", "click")
-    events.where(as_lines).write.json(f"{path}/lines")
-    rows = events.where(~as_lines).select(F.to_json(F.struct("*")).alias("value"))
+    events.where(as_lines).select(row.alias("value")).write.text(f"{path}/lines")
+    rows = events.where(~as_lines).select(row.alias("value"))
     rows.mapInArrow(_array_lines, "value string").write.text(f"{path}/arrays")
-    ddl = "event_id bigint, ts string, user_id bigint, event_type string, value double"
-    return files.json_records(spark, path, ddl, keep=lambda name: ~F.endswith(name, F.lit("meta.json")))
+    return path
+
+
+_EVENT_DDL = "event_id bigint, ts string, user_id bigint, event_type string, value double"
+
+
+def _any_data(name):
+    return ~F.endswith(name, F.lit("meta.json")) & ~F.contains(name, F.lit("_SUCCESS"))
+
+
+@query(
+    "json_lines_or_array",
+    f"SELECT event_id, {stamp_sql('ts')} AS ts, user_id, event_type, value FROM events",
+)
+def json_lines_or_array(spark, sf_dir):
+    return files.json_records(spark, _json_feed(spark, sf_dir), _EVENT_DDL, keep=_any_data)
+
+
+_REJECTED = "event_id % 7 = 3 OR event_type NOT IN ('view', 'click')"
+
+
+@query(
+    "json_rejects",
+    f"""SELECT event_id, '{files.NOT_AN_OBJECT}' AS reason FROM events WHERE {_REJECTED}""",
+)
+def json_rejects(spark, sf_dir):
+    """Broken lines of files of lines; every line of the arrays, which no longer parse, for their commas."""
+    rejects = files.json_rejects(spark, _json_feed(spark, sf_dir, damaged=True), keep=_any_data)
+    numbered = rejects.select(F.regexp_extract("text", r'"event_id":(\d+)', 1).alias("event_id"), "reason")
+    return numbered.select(F.col("event_id").try_cast("bigint").alias("event_id"), "reason").where("event_id IS NOT NULL")
 
 
 # Listings: one file per order, named in several ways.
@@ -181,17 +209,25 @@ def marker_advance(spark, sf_dir):
     return files.advance_markers(_run_log(spark, sf_dir), "prefix")
 
 
+_PREFIXES = ("A", "N", "R", "S")  # the last has no marker
+
+
 @query(
     "incremental_files",
-    f"""WITH {_LISTING_SQL}, {_RUN_LOG_SQL}
-    SELECT o_orderkey, key, {stamp_sql("last_modified")} AS last_modified FROM listing
-    WHERE last_modified > (SELECT max(finished_at) FROM log WHERE status = 'SUCCESS')
+    f"""WITH {_LISTING_SQL}, {_RUN_LOG_SQL}, marker AS (
+        SELECT prefix, max(finished_at) AS marker FROM log WHERE status = 'SUCCESS' GROUP BY prefix),
+    named AS (SELECT *, substr('ANRS', CAST(o_orderkey % 4 AS INT) + 1, 1) AS prefix FROM listing)
+    SELECT o_orderkey, n.prefix, key, {stamp_sql("last_modified")} AS last_modified FROM named n
+    LEFT JOIN marker m ON n.prefix = m.prefix
+    WHERE last_modified > coalesce(marker, TIMESTAMP '1998-05-01 12:00:00' - INTERVAL 2 DAY)
       AND (key LIKE '%.json' OR key LIKE '%.jsonl') AND key NOT LIKE '%meta.json'""",
 )
 def incremental_files(spark, sf_dir):
     markers = files.advance_markers(_run_log(spark, sf_dir), "prefix")
-    recent = files.changed_since(_listing(spark, sf_dir), markers, RUN_TS)
-    return files.data_files(recent).select("o_orderkey", "key", "last_modified")
+    prefix = F.get(F.lit(list(_PREFIXES)), (F.col("o_orderkey") % 4).cast("int"))
+    listing = _listing(spark, sf_dir).withColumn("prefix", prefix)
+    recent = files.changed_since(listing, markers, "1998-05-01 12:00:00")
+    return files.data_files(recent).select("o_orderkey", "prefix", "key", "last_modified")
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WHOLE_FILE_LIMIT = 128 * 1024 * 1024
+NOT_AN_OBJECT, EMPTY_FILE = "not an object", "empty file"
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -34,45 +34,57 @@ def json_documents(spark: SparkSession, path: str) -> DataFrame:
     return chosen.where(is_data_file(F.col("path")))
 
 
-def json_records(
-    spark: SparkSession,
-    path: str,
-    ddl: str,
-    whole_limit: int = WHOLE_FILE_LIMIT,
-    keep: Callable[[Column], Column] | None = None,
-) -> DataFrame:
-    """Records of files that hold JSON Lines or one JSON array, decided per file.
-
-    A file up to ``whole_limit`` bytes is read whole and tried as lines, then
-    as an array, which may span lines. Above it a file is read line by line in
-    splits, so a big JSON Lines file is never held by one task; a line that is
-    not JSON there fails the job instead of vanishing. File size is metadata,
-    so each branch opens its own files only. ``keep`` selects files by path;
-    the default is :func:`is_data_file`.
-    """
-    keep = keep or is_data_file
-    chosen = keep(F.col("_metadata.file_path"))
-    files = spark.read.option("recursiveFileLookup", True)
-    size = F.col("_metadata.file_size")
-    whole = files.text(path, wholetext=True).where((size <= whole_limit) & chosen)
-    lines = files.text(path).where((size > whole_limit) & chosen)
-
-    filled = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
-    each = F.transform(filled, lambda line: F.when(_is_object(line), F.from_json(line, ddl)))
-    as_lines = F.when(F.forall(each, lambda r: r.isNotNull()), each)
-    records = F.coalesce(as_lines, F.from_json("value", f"array<{_struct(ddl)}>"))
-    small = whole.select(F.explode(records).alias("record"))
-
-    parsed = F.from_json("value", f"array<{_struct(ddl)}>")
-    broken = F.raise_error(F.concat(F.lit("not a line of JSON in "), F.col("_metadata.file_path")))
-    big = lines.where(F.trim("value") != "").select(
-        F.explode(F.when(F.try_parse_json("value").isNotNull(), parsed).otherwise(broken)).alias("record")
-    )
-    return small.unionByName(big).select("record.*")
+def json_texts(spark: SparkSession, paths: str | list[str], keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``(path, text, reason)``: one row per JSON object in files of lines or of one document.
 
+    A file whose first filled line is a whole object holds lines and is read
+    in splits, whatever its size. Any other file is read whole: the elements
+    of an array, or one object. If that cannot be parsed, its lines are looked
+    at one by one. What is not an object gives a row with a ``reason`` and the
+    text found; so does a file of blank lines (Spark shows no file of no bytes at
+    all). Nothing is decided by size.
 
-def _struct(ddl: str) -> str:
-    return f"struct<{', '.join(f'{f.name}:{f.dataType.simpleString()}' for f in T.StructType.fromDDL(ddl))}>"
+    The paths of the files read whole go through the driver, where Spark keeps
+    the list of all files as well.
+    """
+    chosen = (keep or is_data_file)(F.col("path"))
+    read = spark.read.option("recursiveFileLookup", True)
+    named = F.col("_metadata.file_path").alias("path")
+    block = F.col("_metadata.file_block_start").alias("block")
+    lines = read.text(paths).select(named, block, F.monotonically_increasing_id().alias("row"), F.col("value").alias("text"))
+    filled = lines.where(chosen & (F.trim("text") != ""))
+    first = filled.groupBy("path").agg(F.min_by("text", F.struct("block", "row")).alias("first"))
+    first = first.withColumn("whole", ~_is_object(F.col("first")))
+    listed = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(paths)
+    listed = listed.select(named).where(chosen)
+    empty = listed.join(first, "path", "left_anti").select("path", F.lit("").alias("text"), F.lit(EMPTY_FILE).alias("reason"))
+
+    of_lines = _line_rows(filled.join(first.where("not whole").select("path"), "path", "left_semi"))
+    documents = [r[0] for r in first.where("whole").select("path").collect()]
+    if not documents:
+        return of_lines.unionByName(empty)
+    whole = read.text(documents, wholetext=True).select(named, F.col("value").alias("text"))
+    body, parsed = F.trim("text"), F.try_parse_json("text").isNotNull()
+    listing = F.when(parsed & body.startswith("["), F.from_json("text", "array<string>"))
+    single = F.when(parsed & ~body.startswith("["), F.array(F.col("text")))
+    found = F.coalesce(listing, single, F.filter(F.split("text", r"\r\n|\r|\n"), lambda x: F.trim(x) != ""))
+    return of_lines.unionByName(_line_rows(whole.select("path", F.explode(found).alias("text")))).unionByName(empty)
+
+
+def _line_rows(rows: DataFrame) -> DataFrame:
+    fine = F.coalesce(_is_object(F.col("text")), F.lit(False))
+    return rows.select("path", "text", F.when(~fine, F.lit(NOT_AN_OBJECT)).alias("reason"))
+
+
+def json_records(spark: SparkSession, path: str, ddl: str, keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The objects of :func:`json_texts` with the columns of ``ddl``."""
+    texts = json_texts(spark, path, keep).where(F.col("reason").isNull())
+    return texts.select(F.from_json("text", ddl).alias("record")).select("record.*")
+
+
+def json_rejects(spark: SparkSession, path: str, keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``(path, text, reason)`` of whatever :func:`json_records` cannot use."""
+    return json_texts(spark, path, keep).where(F.col("reason").isNotNull())
 
 
 def _is_object(line: Column) -> Column:
@@ -97,18 +109,19 @@ def changed_since(
     only_recent: bool = True,
     modified: str = "last_modified",
     default_days: int = 2,
+    by: str = "prefix",
 ) -> DataFrame:
-    """Files modified strictly after the marker.
+    """Files modified strictly after the marker of their own prefix.
 
-    ``marker`` holds at most one row with a ``marker`` stamp. Without one the
-    last ``default_days`` days count. The marker is a scalar subquery, so the
-    comparison is pushed to the scan of the listing.
+    ``marker`` has at most one row per value of ``by`` with a ``marker``
+    stamp. A prefix without one goes back ``default_days`` days.
     """
     if not only_recent:
         return listing
     fallback = F.lit(run_ts).cast("timestamp_ntz") - F.make_dt_interval(F.lit(default_days))
-    since = marker.agg(F.coalesce(F.max("marker"), fallback).alias("since")).scalar()
-    return listing.where(F.col(modified) > since)
+    since = marker.select(F.col(by).alias("_by"), F.col("marker").alias("_since"))
+    joined = listing.join(since, listing[by].eqNullSafe(F.col("_by")), "left")
+    return joined.where(F.col(modified) > F.coalesce("_since", fallback)).drop("_by", "_since")
 
 
 def advance_markers(run_log: DataFrame, *keys: str) -> DataFrame:

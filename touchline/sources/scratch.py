@@ -35,13 +35,3 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for heavy row-by-row work when the scan has fewer splits than cores.
-
-    Only meant for narrow scans: asking for the split count runs no job there.
-    A table with enough splits is left alone, so nothing large is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
