@@ -138,9 +138,12 @@ def coverage_summary(ranges: DataFrame, data: DataFrame, keys: list[str]) -> Dat
 def verify_results(ranges: DataFrame, results: DataFrame, data: DataFrame, keys: list[str]) -> DataFrame:
     """Coverage from recorded day results; ranges without any fall back to the data.
 
-    ``results`` holds ``results map<date, boolean>`` per batch of a range.
+    ``results`` holds ``results map<date, boolean>`` per batch of a range. A
+    day counts once, as present if any batch that names it succeeded, so a
+    retried batch adds nothing.
     """
-    days = results.select(*keys, F.explode("results").alias("date", "_present"))
+    days = results.select(*keys, F.explode("results").alias("date", "_day"))
+    days = days.groupBy(*keys, "date").agg(F.coalesce(F.bool_or("_day"), F.lit(False)).alias("_present"))
     recorded = _coverage(days, keys).drop("total_days")
     length = ranges.select(*keys, (F.datediff("end_date", "start_date") + 1).cast("bigint").alias("total_days"))
     unrecorded = ranges.join(recorded.select(*keys), keys, "left_anti")

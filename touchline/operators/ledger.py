@@ -47,14 +47,8 @@ def conversion_status(updates: DataFrame, keys: list[str], order: str = "ts") ->
 
 
 def date_set(df: DataFrame, date: str = "date") -> DataFrame:
-    """Distinct dates, ready to be looked up.
-
-    A date column has at most as many values as the calendar has days, however
-    many rows there are, so the set may be broadcast and the looked-up side
-    stays where it is. Other types have no such bound and are left to Spark.
-    """
-    days = df.select(date).distinct()
-    return F.broadcast(days) if isinstance(df.schema[date].dataType, T.DateType) else days
+    """Distinct dates, ready to be looked up; Spark broadcasts them by their measured size."""
+    return df.select(date).distinct()
 
 
 def done_dates(ledger: DataFrame, stage: str | None = None) -> DataFrame:

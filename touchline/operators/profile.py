@@ -1,15 +1,16 @@
 """Column profiles: missing values, distinct values, summaries.
 
 Everything per column is computed for all columns at once. Exact quantiles are
-taken from value counts cut into bins, so no task has to hold a whole column.
+taken from value counts dealt into ranges, so no task has to hold a whole column.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_BINS = 4096
+from touchline.sources.scratch import staged
 
 
 def value_counts(df: DataFrame, columns: list[str], type_name: str) -> DataFrame:
@@ -53,6 +54,11 @@ def missing_by_column(df: DataFrame, columns: list[str] | None = None) -> DataFr
     )
 
 
+def high_missing(df: DataFrame, limit: float = 20.0, columns: list[str] | None = None) -> DataFrame:
+    """Columns of which more than ``limit`` percent are null."""
+    return missing_by_column(df, columns).where(F.col("missing_pct") > limit)
+
+
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact number of distinct non-null values per column."""
     wide = df.agg(
@@ -93,41 +99,28 @@ def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _spans(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Extremes and number of values per column, in one pass over the table."""
-    parts = {"low": F.min, "high": F.max, "total": F.count}
-    wide = df.agg(
-        *[f(F.col(c).cast("double")).alias(f"{i}__{name}") for i, c in enumerate(columns) for name, f in parts.items()]
-    )
-    rows = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{i}__{name}").alias(name) for name in parts])
-        for i, c in enumerate(columns)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
-
-
 def exact_quantiles(df: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per column.
 
-    Value counts are cut into equal-width bins. Running totals over the bins
-    (at most a few thousand rows per column) give every bin its offset, and a
-    running sum inside each bin places every value. Bins are sorted in
-    parallel and the running sum streams, so memory does not grow with the
-    number of distinct values.
+    Value counts are dealt into ranges of about equal size, however the values
+    lie, and stored, which fixes the ranges. Totals per column and range give
+    every range its offset, and a running sum inside each range places every
+    value, so no task holds more than its share of a column.
     """
-    # One row per column, and at most _BINS rows per column: both are bounded
-    # by the schema, so they may be broadcast whatever the size of the table.
-    span = F.broadcast(_spans(df, columns))
-    counts = value_counts(df, columns, "double")
-    share = F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low"))
-    binned = counts.join(span, "column").select(
-        "column", "value", "n", "total", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * _BINS), F.lit(_BINS - 1)).alias("bin")
+    counts = staged(value_counts(df, columns, "double"), "value_counts")
+    dealt = counts.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id())
+    dealt = staged(dealt, "value_ranges")
+    sums = dealt.groupBy("column", "part").agg(F.sum("n").alias("in_part"))
+    order = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "column",
+        "part",
+        F.coalesce(F.sum("in_part").over(order), F.lit(0)).alias("offset"),
+        F.sum("in_part").over(Window.partitionBy("column")).alias("total"),
     )
-    bins = binned.groupBy("column", "bin").agg(F.sum("n").alias("in_bin"))
-    earlier = Window.partitionBy("column").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bins.select("column", "bin", F.coalesce(F.sum("in_bin").over(earlier), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("column", "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = binned.join(F.broadcast(offsets), ["column", "bin"]).select(
+    inside = Window.partitionBy("column", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # At most one row per range and one more per column.
+    placed = dealt.join(F.broadcast(offsets), ["column", "part"]).select(
         "column",
         "value",
         "total",
@@ -157,8 +150,14 @@ def exact_quantiles(df: DataFrame, columns: list[str], points: dict[str, float])
     )
 
 
-def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and quartiles per column."""
+def numeric_columns(df: DataFrame) -> list[str]:
+    """Names of the columns that hold numbers."""
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+
+
+def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Count, mean, sample deviation, extremes and quartiles of the named columns, or of all that hold numbers."""
+    columns = columns or numeric_columns(df)
     measures = {
         "count": F.count,
         "mean": F.avg,

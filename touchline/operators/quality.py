@@ -90,11 +90,19 @@ def expected_days(days: DataFrame, report: DataFrame) -> DataFrame:
     )
 
 
+def split_valid(games: DataFrame) -> DataFrame:
+    """Games of :func:`games_of_day_files` that can be read, with their ``errors`` and whether they are ``valid``."""
+    read = with_errors(games.where(F.col("game_index").isNotNull() & (F.col("status") == "validated")))
+    return read.withColumn("valid", F.size("errors") == 0)
+
+
 def month_report(days: DataFrame) -> DataFrame:
-    """Totals per month and the number of days with any error."""
-    faulty = (F.col("status") != "validated") | (F.col("valid_games_count") < F.col("games_count"))
+    """Totals per month, the number of days whose file has any error, and that of days without a file."""
+    missing = F.col("status") == "missing"
+    faulty = ~missing & ((F.col("status") != "validated") | (F.col("valid_games_count") < F.col("games_count")))
     return days.groupBy(F.date_format("file_date", "yyyy-MM").alias("month")).agg(
         F.sum("games_count").alias("total_games"),
         F.sum("valid_games_count").alias("total_valid_games"),
         F.count_if(faulty).alias("days_with_errors"),
+        F.count_if(missing).alias("days_missing"),
     )

@@ -76,15 +76,15 @@ def validation_errors(spark, sf_dir):
     return quality.with_errors(_games(spark, sf_dir)).select(*_KEYS, "errors")
 
 
-# Day files: one small file per order, two games each; some are broken, empty or absent.
+# Day files: one small file per order, two games each; some are broken or empty. More days are expected than there are.
 _FILES_SQL = """files AS (
     SELECT CAST(o_orderdate AS DATE) AS file_date,
            CASE WHEN o_orderkey % 17 = 0 AND day(o_orderdate) % 3 = 0 THEN 'invalid_json' ELSE 'validated' END AS status,
            CASE WHEN o_orderkey % 17 = 0 AND day(o_orderdate) % 3 = 0 THEN 0 WHEN o_orderkey % 11 = 0 THEN 0 ELSE 2 END AS n,
            CASE WHEN o_orderkey % 17 = 0 AND day(o_orderdate) % 3 = 0 THEN 0 WHEN o_orderkey % 11 = 0 THEN 0
                 WHEN o_custkey % 5 = 0 THEN 1 ELSE 2 END AS valid
-    FROM orders WHERE day(o_orderdate) <> 28),
-    span AS (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders),
+    FROM orders),
+    span AS (SELECT min(CAST(o_orderdate AS DATE)) - 40 AS a, max(CAST(o_orderdate AS DATE)) + 40 AS b FROM orders),
     days AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS file_date FROM span),
     report AS (
     SELECT d.file_date, coalesce(min(status), 'missing') AS status, CAST(coalesce(sum(n), 0) AS BIGINT) AS games_count,
@@ -92,7 +92,7 @@ _FILES_SQL = """files AS (
     FROM days d LEFT JOIN files f ON d.file_date = f.file_date GROUP BY d.file_date)"""
 
 
-def _day_report(spark, sf_dir):
+def _day_files(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
 
@@ -112,12 +112,29 @@ def _day_report(spark, sf_dir):
         .when(F.col("o_orderkey") % 11 == 0, F.lit("[]"))
         .otherwise(F.to_json(F.array(game(F.lit("Field 1")), game(second))))
     )
-    files = orders.where(F.dayofmonth("o_orderdate") != 28).select(day.alias("date"), content.alias("content"))
-    span = orders.agg(F.min(day).alias("a"), F.max(day).alias("b"))
+    return orders.select("o_orderkey", day.alias("date"), content.alias("content"))
+
+
+def _day_report(spark, sf_dir):
+    files, day = _day_files(spark, sf_dir), F.to_date("o_orderdate")
+    span = table(spark, sf_dir, "orders").agg(F.date_sub(F.min(day), 40).alias("a"), F.date_add(F.max(day), 40).alias("b"))
     days = span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("file_date"))
     return quality.expected_days(days, quality.day_report(quality.games_of_day_files(files)))
 
 
+@query(
+    "validation_split",
+    """WITH g AS (SELECT o_orderkey, CAST(n AS BIGINT) AS game_index, n = 0 OR o_custkey % 5 <> 0 AS valid
+        FROM orders, (VALUES (0), (1)) AS copies(n)
+        WHERE NOT (o_orderkey % 17 = 0 AND day(o_orderdate) % 3 = 0) AND o_orderkey % 11 <> 0)
+    SELECT * FROM g""",
+)
+def validation_split(spark, sf_dir):
+    """Every readable game with its place in its file, told apart by whether it is valid."""
+    split = quality.split_valid(quality.games_of_day_files(_day_files(spark, sf_dir)))
+    return split.select("o_orderkey", "game_index", "valid")
+
+
 @query(
     "validation_by_day",
     f"WITH {_FILES_SQL} SELECT {day_sql('file_date')} AS file_date, status, games_count, valid_games_count FROM report",
@@ -131,7 +148,9 @@ def validation_by_day(spark, sf_dir):
     f"""WITH {_FILES_SQL}
     SELECT strftime(file_date, '%Y-%m') AS month, CAST(sum(games_count) AS BIGINT) AS total_games,
            CAST(sum(valid_games_count) AS BIGINT) AS total_valid_games,
-           count(*) FILTER (status <> 'validated' OR valid_games_count < games_count) AS days_with_errors
+           count(*) FILTER (status <> 'missing' AND (status <> 'validated' OR valid_games_count < games_count))
+               AS days_with_errors,
+           count(*) FILTER (status = 'missing') AS days_missing
     FROM report GROUP BY 1""",
 )
 def validation_by_month(spark, sf_dir):

@@ -362,7 +362,10 @@ def staged_build(spark, sf_dir):
     return kept.groupBy("league").agg(F.count(F.lit(1)).alias("days"), F.max("n").alias("most"))
 
 
-_KINDS = {"o_orderkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz"}
+_KINDS = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
+}
 
 
 @query(
@@ -373,7 +376,7 @@ _KINDS = {"o_orderkey": "bigint", "o_orderstatus": "string", "o_totalprice": "do
     ),
 )
 def describe_table(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(*_KINDS)
+    orders = table(spark, sf_dir, "orders")
     counts = orders.agg(*[F.count(c).alias(c) for c in orders.columns])
     rows = [
         F.struct(
@@ -387,6 +390,16 @@ def describe_table(spark, sf_dir):
     return counts.select(F.inline(F.array(*rows)))
 
 
+@query(
+    "table_sample",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {stamp_sql('o_orderdate')} AS o_orderdate, o_orderpriority
+    FROM orders ORDER BY o_orderkey, o_custkey, o_totalprice LIMIT 10""",
+)
+def table_sample(spark, sf_dir):
+    """The first ten rows in a total order."""
+    return table(spark, sf_dir, "orders").orderBy("o_orderkey", "o_custkey", "o_totalprice").limit(10)
+
+
 _ADHOC = """SELECT league, count(*) AS game_count, round(avg(home_score + away_score), 4) AS avg_total_score
     FROM {games} GROUP BY league HAVING count(*) > 1 ORDER BY avg_total_score DESC"""
 

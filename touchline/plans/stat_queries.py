@@ -247,8 +247,14 @@ def low_count_dates(spark, sf_dir):
     return stats.low_count_dates(contests(spark, sf_dir), "game_date", below=20)
 
 
-_PROFILED = ("game_date", "home_team", "league", "home_score", "away_score")
-_PROFILE_SQL = contests_sql("home_team", "league")
+# Every column of the view.
+_TYPES = {
+    "game_date": "date", "home_team": "string", "away_team": "string", "league": "string", "venue": "string",
+    "home_score": "bigint", "away_score": "bigint", "l_orderkey": "bigint", "l_linenumber": "int",
+}
+_PROFILED = tuple(_TYPES)
+_VIEW = ("home_team", "away_team", "league", "venue")
+_PROFILE_SQL = contests_sql(*_VIEW)
 
 
 def _missing_sql(extra: str = "", tail: str = "") -> str:
@@ -261,16 +267,12 @@ def _missing_sql(extra: str = "", tail: str = "") -> str:
 
 @query("missing_by_column", _missing_sql())
 def missing_by_column(spark, sf_dir):
-    return profile.missing_by_column(contests(spark, sf_dir, "home_team", "league"), list(_PROFILED))
+    return profile.missing_by_column(contests(spark, sf_dir, *_VIEW))
 
 
 @query("high_missing", _missing_sql(tail=" WHERE missing_pct > 10"))
 def high_missing(spark, sf_dir):
-    report = profile.missing_by_column(contests(spark, sf_dir, "home_team", "league"), list(_PROFILED))
-    return report.where(F.col("missing_pct") > 10)
-
-
-_TYPES = {"game_date": "date", "home_team": "string", "league": "string", "home_score": "bigint", "away_score": "bigint"}
+    return profile.high_missing(contests(spark, sf_dir, *_VIEW), limit=10.0)
 
 
 @query(
@@ -284,23 +286,25 @@ _TYPES = {"game_date": "date", "home_team": "string", "league": "string", "home_
     ),
 )
 def column_profile(spark, sf_dir):
-    return profile.column_profile(contests(spark, sf_dir, "home_team", "league"), list(_PROFILED))
+    return profile.column_profile(contests(spark, sf_dir, *_VIEW))
 
 
-_MEASURED = ("l_quantity", "l_extendedprice", "l_discount")
+_MEASURED = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+)
 
 
 @query(
     "describe_numeric",
     " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
-        f"min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25), 4) AS p25, "
+        f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(quantile_cont({c}, 0.25), 4) AS p25, "
         f"round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.75), 4) AS p75 FROM lineitem"
         for c in _MEASURED
     ),
 )
 def describe_numeric(spark, sf_dir):
-    summary = profile.describe_numeric(table(spark, sf_dir, "lineitem"), list(_MEASURED))
+    summary = profile.describe_numeric(table(spark, sf_dir, "lineitem"))
     return summary.select(
         "column", "count", "min", "max", *[F.round(c, 4).alias(c) for c in ("mean", "std", "p25", "p50", "p75")]
     )
