@@ -32,6 +32,7 @@ _KEY = "__llm_text_key"
 _CUT = re.compile(r"(?<=[^\s]) (?=[^\W_])")
 _PLAIN, _INNER, _LAST = 0, 1, 2  # a run of words; a fragment inside a piece; the last fragment of a piece
 _LEAF_SCHEMA = f"{_KEY} string, leaf int, kind int, content string"
+_DECODED_ROWS = 256
 _MODELS: dict[str, tuple] = {}
 
 
@@ -260,8 +261,11 @@ def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "de
 
     @F.arrow_udf("string")
     def whole(lists: pa.Array) -> pa.Array:
-        rows = [x or [] for x in lists.to_pylist()]
-        return pa.array(encoder_for(definition.value).tokenizer.decode_batch(rows, skip_special_tokens=False))
+        tokenizer, texts = encoder_for(definition.value).tokenizer, []
+        for at in range(0, len(lists), _DECODED_ROWS):
+            rows = [[] if x is None else x.tolist() for x in lists.slice(at, _DECODED_ROWS).to_numpy(zero_copy_only=False)]
+            texts += tokenizer.decode_batch(rows, skip_special_tokens=False)
+        return pa.array(texts, pa.string())
 
     return df.withColumn(text, whole(F.col(ids)))
 

@@ -10,7 +10,6 @@ library whole.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 import re
@@ -22,9 +21,9 @@ import pyarrow.compute as pc
 
 _WHITE = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _UNSAFE = rf"{_WHITE} (?:{_WHITE}|\z)"
-_KEPT_WORDS = 2_500_000
-_KEPT_BYTES = 48 << 20
-_BATCH_BYTES = 12 << 20
+_KEPT_WORDS = 1_600_000
+_KEPT_BYTES = 32 << 20
+_BATCH_BYTES = 8 << 20
 _CALL_WORDS = 16_384
 _DIRECT_BYTES = 1 << 17
 _SPACES_MEET = re.compile(r"\s\s|\s\Z")
@@ -51,10 +50,9 @@ def read_definition(path: str) -> str:
 
 def encoder_for(definition: str) -> WordEncoder:
     """One encoder per worker process and definition."""
-    key = hashlib.sha256(definition.encode()).hexdigest()
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(definition)
-    return _ENCODERS[key]
+    if definition not in _ENCODERS:
+        _ENCODERS[definition] = WordEncoder(definition)
+    return _ENCODERS[definition]
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
