@@ -119,6 +119,28 @@ def test_stream_reads_new_files_once(spark, tmp_path):
     assert state() == [(2, 0)]
 
 
+def test_stream_takes_documents_and_stores_rejects(spark, tmp_path):
+    inbox, table, checkpoint, rejects = (str(tmp_path / n) for n in ("in", "games", "cp", "rejects"))
+    record = {"league_name": "L", "game_date": "2024-01-05", "home_team": "A", "away_team": "B", "score": "1 - 0"}
+    os.makedirs(inbox)
+    write(tmp_path / "in" / "1.json", json.dumps([record, {**record, "home_team": "C"}], indent=2))
+    write(tmp_path / "in" / "2.jsonl", json.dumps({**record, "home_team": " "}) + "\nnonsense\n")
+    for _ in range(2):
+        ingest.ingest_available(spark, inbox, table, checkpoint, "2025-03-01 12:00:00", 2025, rejects_path=rejects, files_per_batch=1)
+    assert sorted(r.home_team for r in sinks.read_months(spark, table).collect()) == ["A", "C"]
+    found = [(r.text[:8], r.errors) for r in ingest.read_rejects(spark, rejects).orderBy("text").collect()]
+    assert found == [("nonsense", ["record"]), ('{"league', ["home_team"])]
+
+
+def test_quantile_ranges_hold_no_more_than_their_share(spark):
+    values = spark.range(20000).selectExpr("cast(id as double) v").unionAll(spark.sql("select 1e15D v"))
+    got = profile.exact_quantiles(values, ["v"], {"a": 0.5}).first()
+    assert got.a == 10000.0
+    counts = profile.value_counts(values, ["v"], "double")
+    dealt = counts.repartitionByRange(8, "column", "value").groupBy(F.spark_partition_id()).count()
+    assert max(r[1] for r in dealt.collect()) < 2.5 * 20001 / 8
+
+
 @pytest.mark.parametrize("values", [[1.0], [3.0, 1.0], list(range(101)), [5.0] * 50 + [1e9], [0.1 * i * i for i in range(997)]])
 def test_quantiles_match_numpy(spark, values):
     rows = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")

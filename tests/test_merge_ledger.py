@@ -49,12 +49,24 @@ def test_month_table_rewrites_touched_months_only(spark, tmp_path):
     path = str(tmp_path / "games")
     february = (datetime(2024, 2, 1), *game("X", "Y", 1, 1)[1:])
     sinks.merge_months(spark.createDataFrame([*OLD, february], CANONICAL), path)
-    untouched = sorted(p.name for p in (tmp_path / "games" / "month=2024-02").glob("*.parquet"))
+    before = sinks.month_versions(spark, path)
     sinks.merge_months(spark.createDataFrame(NEW, CANONICAL), path)
     first = sorted(map(str, sinks.read_months(spark, path).collect()))
     sinks.merge_months(spark.createDataFrame(NEW, CANONICAL), path)
     assert sorted(map(str, sinks.read_months(spark, path).collect())) == first and len(first) == 4
-    assert sorted(p.name for p in (tmp_path / "games" / "month=2024-02").glob("*.parquet")) == untouched
+    after = sinks.month_versions(spark, path)
+    assert after["2024-02"] == before["2024-02"] and after["2024-01"] != before["2024-01"]
+
+
+def test_month_merge_that_dies_before_publishing_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "games")
+    sinks.merge_months(spark.createDataFrame(OLD, CANONICAL), path)
+    stored = lambda: sorted(map(str, sinks.read_months(spark, path).collect()))
+    old = stored()
+    name, months = sinks.write_months(spark.createDataFrame(NEW, CANONICAL), path)
+    assert stored() == old
+    sinks.publish_months(spark, path, name, months)
+    assert len(stored()) == 3 and stored() != old
 
 
 def updates(spark, *rows):

@@ -162,6 +162,10 @@ VALID_GAMES_SQL = f"""{_CHECKED}, valid AS (
     FROM checked WHERE errors = '')"""
 
 
+REJECTED_GAMES_SQL = f"""{_CHECKED}, rejected AS (
+    SELECT errors FROM checked WHERE errors <> '' UNION ALL SELECT 'record' FROM feed WHERE broken)"""
+
+
 @query("valid_rows", f"WITH {VALID_GAMES_SQL} SELECT * FROM valid")
 def valid_rows(spark, sf_dir):
     return ingest.valid_rows(_cleaned(spark, sf_dir))

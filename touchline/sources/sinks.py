@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,7 @@ from touchline.schema import CANONICAL, RUN_LOG
 from touchline.sources.files import scan_table
 
 ROWS_PER_FILE = 5_000_000
+_MONTH_LOG = "_months"
 
 
 def as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -110,6 +113,43 @@ def append_run_log(runs: DataFrame, path: str) -> None:
     write_parquet(runs, path, RUN_LOG, mode="append")
 
 
+def month_versions(spark: SparkSession, path: str) -> dict[str, str]:
+    """The published version of every month: one entry per calendar month."""
+    log = scan_table(spark, f"{path}/{_MONTH_LOG}", "month string, version string, number bigint")
+    newest = log.groupBy("month").agg(F.max_by("version", F.struct("number", "version")).alias("version"))
+    return {row["month"]: row["version"] for row in newest.collect()}
+
+
+def write_months(
+    incoming: DataFrame,
+    path: str,
+    keys: list[str] | None = None,
+    version: str = "timestamp",
+    schema: T.StructType = CANONICAL,
+    date: str = "date",
+) -> tuple[str, list[str]]:
+    """Write new copies of the months that ``incoming`` touches, and say under which name; nobody reads them yet."""
+    spark, name = incoming.sparkSession, uuid.uuid4().hex
+    month = F.date_format(date, "yyyy-MM").alias("month")
+    fresh = as_schema(incoming, schema).select("*", F.coalesce(month, F.lit("none")).alias("month"))
+    touched = [row["month"] for row in fresh.select("month").distinct().collect()]
+    if touched:
+        stored = _stored_months(spark, path, schema, touched)
+        merged = upsert_latest(stored, fresh, [*(keys or GAME_KEY), "month"], version)
+        rows = merged.hint("rebalance", "month").withColumn("copy", F.lit(name))
+        rows.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("copy", "month").parquet(f"{path}/data")
+    return name, touched
+
+
+def publish_months(spark: SparkSession, path: str, name: str, months: list[str]) -> None:
+    """Make the copies written under ``name`` the ones that are read, in one append to the log."""
+    if months:
+        log = scan_table(spark, f"{path}/{_MONTH_LOG}", "month string, version string, number bigint")
+        number = (log.agg(F.max("number")).first()[0] or 0) + 1
+        rows = spark.createDataFrame([(m, name, number) for m in months], "month string, version string, number bigint")
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/{_MONTH_LOG}")
+
+
 def merge_months(
     incoming: DataFrame,
     path: str,
@@ -120,30 +160,26 @@ def merge_months(
 ) -> None:
     """Upsert into a table kept in month folders, rewriting touched months only.
 
-    The touched months are read as a short list (one entry per calendar month
-    of the input), which prunes the scan of the stored table to those folders.
-    Applying the same input twice changes nothing. The input is read twice, so
-    stage or persist it when it is costly to compute.
+    New copies of the touched months are written beside the old ones and then
+    published together, so a run that dies leaves the table as it was, and
+    the copies before stay as a backup. The touched months are a short list
+    (one entry per calendar month of the input), which prunes the scan of the
+    stored table. Applying the same input twice changes nothing. The input is
+    read twice, so stage or persist it when it is costly to compute. One
+    writer at a time.
     """
-    spark = incoming.sparkSession
-    month = F.date_format(date, "yyyy-MM").alias("month")
-    stored_schema = T.StructType([*schema.fields, T.StructField("month", T.StringType())])
-    fresh = as_schema(incoming, schema).select("*", F.coalesce(month, F.lit("none")).alias("month"))
-    touched = [row["month"] for row in fresh.select("month").distinct().collect()]
-    if not touched:
-        return
-    stored = scan_table(spark, path, stored_schema).where(F.col("month").isin(touched))
-    merged = upsert_latest(stored, fresh, [*(keys or GAME_KEY), "month"], version)
-    (
-        merged.hint("rebalance", "month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .partitionBy("month")
-        .parquet(path)
-    )
+    publish_months(incoming.sparkSession, path, *write_months(incoming, path, keys, version, schema, date))
+
+
+def _stored_months(spark: SparkSession, path: str, schema: T.StructType, months: list[str] | None = None) -> DataFrame:
+    text_field = lambda n: T.StructField(n, T.StringType())
+    stored = scan_table(spark, f"{path}/data", T.StructType([*schema.fields, text_field("copy"), text_field("month")]))
+    wanted = {m: v for m, v in month_versions(spark, path).items() if months is None or m in months}
+    folders = [f"{v}/{m}" for m, v in wanted.items()]
+    # Both columns are folders, so only the wanted ones are listed.
+    return stored.where(F.concat_ws("/", "copy", "month").isin(folders)).drop("copy")
 
 
 def read_months(spark: SparkSession, path: str, schema: T.StructType = CANONICAL) -> DataFrame:
     """The merged table; ``month`` stays available for pruning."""
-    return scan_table(spark, path, T.StructType([*schema.fields, T.StructField("month", T.StringType())]))
+    return _stored_months(spark, path, schema)
