@@ -71,6 +71,23 @@ def test_script_comment_and_entities():
     assert ["".join(c.strings()) for c in page.all("td")] == ["a <b c", "d"]
 
 
+def test_self_closed_cells_are_empty():
+    (row,) = [cells for _, _, cells in markup.grid_rows('<table id="ctl00_ContentPlaceHolder1_gvGames"><tr><td/><td>B</td><td a="1" />F</tr></table>')]
+    assert [text for _, text in row] == ["", "B", ""]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a '", '<a "', "<a b='c'", "<!", "<", "</a "])
+def test_time_grows_in_line_with_broken_pages(piece):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        markup.parse(piece * n)
+        return time.perf_counter() - start
+
+    assert seconds(200_000) < 60 * max(seconds(10_000), 0.002)
+
+
 def test_hundred_thousand_open_tags_stay_linear():
     assert len(markup.parse("<b>" * 100000 + "x").all("b")) == 100000
 

@@ -20,7 +20,7 @@ _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in _NO_TEXT}
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)                       # comment
       | <[!?][^>]*(?:>|\Z)                      # declaration
-      | <(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*+)>
+      | <(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"']|["'])*+)(?P<end>>|\Z)
       | (?P<text>[^<]+|<)                       # text, or a stray bracket
     """,
     re.VERBOSE | re.DOTALL,
@@ -81,10 +81,10 @@ def parse(html: str) -> Node:
     while position < size:
         token = _TOKEN.match(html, position)
         position = token.end()
-        closing, tag, attributes, words = token.group("close", "tag", "attrs", "text")
+        closing, tag, attributes, words, end = token.group("close", "tag", "attrs", "text", "end")
         if words is not None:
             here.children.append(unescape(words) if "&" in words else words)
-        elif tag is None:
+        elif not end:  # a comment, a declaration, or a tag that the page breaks off
             continue
         elif closing:
             tag = tag.lower()
@@ -100,7 +100,7 @@ def parse(html: str) -> Node:
             if tag in _NO_TEXT:
                 end = _RAW_END[tag].search(html, position)
                 position = end.end() if end else size
-            elif tag not in _VOID:
+            elif tag not in _VOID and not attributes.endswith("/"):
                 here = node
     return root
 
@@ -196,6 +196,8 @@ def _owners_of(node: Node, needle: str):
 
 def event_rows(html: str):
     """(row number, found through a header?, cells) of the day-event layout."""
+    if not _HAS_TABLE.search(html):
+        return
     root = parse(html)
     number = 0
     for owner in _owners_of(root, fixed.EVENTS_HEADER):
@@ -219,6 +221,8 @@ def event_rows(html: str):
 
 def grid_rows(html: str):
     """(row number, False, cells) of the plain grid; rows with header cells are left out."""
+    if fixed.GRID_TABLE_ID not in html:
+        return
     for node in parse(html).walk():
         if isinstance(node, Node) and node.attrs.get("id") == fixed.GRID_TABLE_ID:
             for number, row in enumerate(node.all("tr")):

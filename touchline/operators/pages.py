@@ -126,6 +126,32 @@ def schedule_games(rows: DataFrame, day_prefixes: list[str] | None = None) -> Da
     )
 
 
+def canonical_games(games: DataFrame, date: str, fetched: str) -> DataFrame:
+    """Rows of :func:`schedule_games` as loose games, ready for :func:`touchline.operators.ingest.clean_games`.
+
+    ``date`` and ``fetched`` name text columns: the day of the page and the
+    stamp of its download.
+    """
+    home, away = text.score_parts(F.col("score"))
+    nothing = F.lit(None).cast("string")
+    game = F.struct(
+        F.col(date).alias("date"),
+        "home_team",
+        "away_team",
+        home.alias("home_score"),
+        away.alias("away_score"),
+        F.lit(False).alias("bad_score"),
+        F.col("league_name").alias("league"),
+        F.col("game_time").alias("time"),
+        nothing.alias("url"),
+        nothing.alias("type"),
+        nothing.alias("status"),
+        nothing.alias("headers"),
+        F.col(fetched).alias("timestamp"),
+    )
+    return games.select(F.lit("flat").alias("shape"), game.alias("game"))
+
+
 def event_games(rows: DataFrame) -> DataFrame:
     """Games from the rows of the ``events`` layout: start, end, description, field."""
     home, away = text.split_description(_cell(2))

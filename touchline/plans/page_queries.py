@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from touchline.functions import fixed_values as fixed
 from touchline.functions import text
-from touchline.operators import pages
-from touchline.plans.registry import query
-from touchline.plans.tables import table
+from touchline.operators import ingest, merge, pages
+from touchline.plans.registry import query, stamp_sql
+from touchline.plans.tables import RUN_TS, YEAR, table
 
 _FIELDS = {
     "a": "'Side ' || CAST(o_custkey % 40 AS STRING) || ' & Co'",
@@ -150,6 +150,32 @@ def html_schedule(spark, sf_dir):
     return _schedule_games(spark, sf_dir)
 
 
+@query(
+    "pages_to_games",
+    f"""WITH {_SCHEDULE_SQL}, dated AS (
+        SELECT strftime(o_orderdate, '%Y-%m-%d 00:00:00.000000') AS date, home_team, away_team, league_name AS league, game_time AS time,
+               TRY_CAST(split_part(score, ' - ', 1) AS BIGINT) AS home_score,
+               TRY_CAST(split_part(score, ' - ', 2) AS BIGINT) AS away_score,
+               CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS stamp, o_orderkey
+        FROM games JOIN (SELECT o_orderkey, o_orderdate FROM p) d USING (o_orderkey) WHERE home_team <> '' AND away_team <> ''),
+    r AS (SELECT *, row_number() OVER (PARTITION BY date, home_team, away_team, league
+            ORDER BY stamp DESC, home_score NULLS LAST, away_score NULLS LAST) AS n FROM dated)
+    SELECT date, home_team, away_team, home_score, away_score, league, time,
+           {stamp_sql("stamp")} AS timestamp FROM r WHERE n = 1""",
+)
+def pages_to_games(spark, sf_dir):
+    """Stored pages to the table: cells, games, typed and checked rows, newest version of each game."""
+    dated = _fields(spark, sf_dir).select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("page_date"),
+        F.date_format(F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, "o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss").alias("fetched"),
+    )
+    games = _schedule_games(spark, sf_dir).join(dated, "o_orderkey")
+    cleaned = ingest.clean_games(pages.canonical_games(games, "page_date", "fetched"), RUN_TS, YEAR)
+    newest = merge.keep_latest(ingest.valid_rows(cleaned), merge.GAME_KEY, "timestamp")
+    return newest.select("date", "home_team", "away_team", "home_score", "away_score", "league", "time", "timestamp")
+
+
 def _event_pages(spark, sf_dir) -> DataFrame:
     a, b, venue = F.col("a"), F.col("b"), F.col("venue")
     base = f'class="{fixed.BASE_TABLE_CLASS}"'
