@@ -38,10 +38,14 @@ WIDTH = 128
 HEAD_ROUNDS = 5
 ROUND_SLOTS = 8
 BLOCK = 512
+FINE = 4096
 _DEVIATIONS = 5
+_TEXTS = 1000
+_OFFERED = 65_536
 _SEED = np.random.default_rng(20_240_601)
 _FACTORS = _SEED.integers(0, 1 << 32, WIDTH, dtype=np.uint32) | np.uint32(1)
 _PLACES = _SEED.integers(0, 1 << 63, WIDTH, dtype=np.uint64) | np.uint64(1)
+_FINE_FACTORS = _SEED.integers(0, 1 << 32, FINE, dtype=np.uint32) | np.uint32(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,6 +62,12 @@ class Rule:
         share = self.percent / 100
         return math.ceil(WIDTH * (1 - share) + _DEVIATIONS * math.sqrt(WIDTH * share * (1 - share)))
 
+    @property
+    def fine_distance(self) -> int:
+        """The same for one bit of each of ``FINE`` further minimum hashes."""
+        share = (1 - self.percent / 100) / 2
+        return math.ceil(FINE * share + _DEVIATIONS * math.sqrt(FINE * share * (1 - share)))
+
     @property
     def chunks(self) -> list[np.ndarray]:
         """Places of each chunk: more than half the distance in number, so one has an error at most."""
@@ -117,6 +127,14 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return ((lowest * np.uint32(0x85EBCA6B)) >> np.uint32(16)).astype(np.uint16)
 
 
+def fine_signature(shingles: np.ndarray) -> bytes:
+    """One bit of each of ``FINE`` minimum hashes."""
+    high, lowest = (shingles >> np.uint64(32)).astype(np.uint32), np.full(FINE, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(high), 128):
+        lowest = np.minimum(lowest, (high[at : at + 128, None] * _FINE_FACTORS).min(axis=0))
+    return np.packbits((lowest * np.uint32(0x85EBCA6B)) >> np.uint32(31)).tobytes()
+
+
 def sketches(docs: DataFrame, rule: Rule, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_shingles, set_hash, signature)``; the last two are null for empty sets."""
     kind = docs.schema[key].dataType.simpleString()
@@ -124,16 +142,18 @@ def sketches(docs: DataFrame, rule: Rule, key: str = "doc_id", text: str = "text
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
-            sizes, hashes, marks = [], [], []
-            for shingles in shingle_sets(batch.column(1), rule.words):
-                sizes.append(len(shingles))
-                hashes.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-                marks.append(signature(shingles).tobytes() if len(shingles) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(marks, pa.binary())],
-                ["key", "n_shingles", "set_hash", "signature"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, _TEXTS):
+                batch = whole.slice(at, _TEXTS)
+                sizes, hashes, marks = [], [], []
+                for shingles in shingle_sets(batch.column(1), rule.words):
+                    sizes.append(len(shingles))
+                    hashes.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+                    marks.append(signature(shingles).tobytes() if len(shingles) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(marks, pa.binary())],
+                    ["key", "n_shingles", "set_hash", "signature"],
+                )
 
     return docs.select(key, text).mapInArrow(sketch, f"key {kind}, n_shingles long, set_hash binary, signature binary")
 
@@ -200,13 +220,15 @@ def confirm(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 def _residual(mixed: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different components under the distance, each from the first bucket it shares.
 
-    ``mixed`` has ``(bucket, low, high, own, slot, node, component, signature)``
-    dealt out and sorted by the first three; ``own`` is the row's block.
+    ``mixed`` has ``(bucket, low, high, own, slot, node, component, signature,
+    fine)`` dealt out and sorted by the first three; ``own`` is the row's
+    block. The fine signature keeps pairs that only just miss the similarity
+    from the full comparison.
     """
-    chunks, limit = rule.chunks, rule.distance
+    chunks, limit, fine_limit = rule.chunks, rule.distance, rule.fine_distance
     heads = np.array([c[0] for c in chunks])
 
-    def pairs_of(rows: dict[str, np.ndarray], marks: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs_of(rows: dict[str, np.ndarray], marks: np.ndarray, fine: np.ndarray) -> Iterator[np.ndarray]:
         group = np.stack([rows["bucket"], rows["low"], rows["high"]])
         n = group.shape[1]
         for step in range(1, n):
@@ -220,7 +242,7 @@ def _residual(mixed: DataFrame, rule: Rule) -> DataFrame:
                 keep = apart[at : at + 8192]
                 a, b = first[at : at + 8192][keep], second[at : at + 8192][keep]
                 differ = marks[a] != marks[b]
-                near = differ.sum(axis=1) <= limit
+                near = (differ.sum(axis=1) <= limit) & (np.bitwise_count(fine[a] ^ fine[b]).sum(axis=1) <= fine_limit)
                 a, b, differ = a[near], b[near], differ[near]
                 errors = np.add.reduceat(differ, heads, axis=1, dtype=np.int64)
                 chunk = np.argmax(errors <= 1, axis=1)
@@ -229,9 +251,20 @@ def _residual(mixed: DataFrame, rule: Rule) -> DataFrame:
                 once = slot == rows["slot"][a] if len(a) else np.zeros(0, bool)
                 if once.any():
                     x, y = rows["node"][a[once]], rows["node"][b[once]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
+                    yield np.stack([np.maximum(x, y), np.minimum(x, y)])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for pairs in groups(batches):
+            found.append(pairs)
+            size += pairs.shape[1]
+            if size >= _OFFERED:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], ["a", "b"])
+                found, size = [], 0
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], ["a", "b"])
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         names = ["bucket", "low", "high", "own", "slot", "node", "component"]
         held = None
         for batch in batches:
@@ -242,9 +275,14 @@ def _residual(mixed: DataFrame, rule: Rule) -> DataFrame:
             done = int(np.argmax(open_))
             if done:
                 ready, held = held.slice(0, done), held.slice(done)
-                yield from pairs_of({c: ready[c].to_numpy().astype(np.int64) for c in names}, _marks(ready["signature"]))
+                yield from pairs_of(*columns(ready))
         if held is not None and held.num_rows:
-            yield from pairs_of({c: held[c].to_numpy().astype(np.int64) for c in names}, _marks(held["signature"]))
+            yield from pairs_of(*columns(held))
+
+    def columns(rows: pa.Table) -> tuple:
+        fine = np.frombuffer(b"".join(rows["fine"].to_pylist()), np.uint64).reshape(-1, FINE // 64)
+        names = ["bucket", "low", "high", "own", "slot", "node", "component"]
+        return {c: rows[c].to_numpy().astype(np.int64) for c in names}, _marks(rows["signature"]), fine
 
     return mixed.mapInArrow(walk, "a long, b long")
 
@@ -305,11 +343,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
         rows = labelled()
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    parts = rows.join(mixed_buckets(rows, 0).select("bucket", "n"), "bucket").join(marks.select("node", "signature"), "node")
+    @F.arrow_udf(T.BinaryType())
+    def fine(texts: pa.Array) -> pa.Array:
+        return pa.array([fine_signature(x) for x in shingle_sets(texts, rule.words)], pa.binary())
+
+    parts = rows.join(mixed_buckets(rows, 0).select("bucket", "n"), "bucket")
+    left = parts.select("node").distinct()
+    detail = marks.join(left, "node", "left_semi").join(bodies, "node").select("node", "signature", fine("body").alias("fine"))
+    parts = parts.join(staged(detail, "detail"), "node")
     parts = parts.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     parts = parts.select(
-        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "slot", "node", "component", "signature"
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "slot", "node", "component", "signature", "fine"
     )
     parts = parts.repartition(width, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     rest = staged(confirm(_residual(parts, rule).distinct(), bodies, rule), "links")
