@@ -29,12 +29,12 @@ from touchline.sources.scratch import staged
 
 DEGREE = 32
 SAMPLE = 24
-ROUNDS = 6
+ROUNDS = 8
 ORDERINGS = 4
 BLOCK = 384
 PLANES = 6
-BEAM = 48
-WALK_ROUNDS = 6
+BEAM = 160
+WALK_ROUNDS = 8
 ENTRIES = 32
 _SMALL = "node long, nbr long, sim float, fresh boolean"
 
