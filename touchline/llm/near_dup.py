@@ -40,7 +40,7 @@ ROUND_SLOTS = 8
 BLOCK = 512
 FINE = 4096
 _DEVIATIONS = 5
-_TEXTS = 1000
+_TEXTS = 500
 _OFFERED = 65_536
 _SEED = np.random.default_rng(20_240_601)
 _FACTORS = _SEED.integers(0, 1 << 32, WIDTH, dtype=np.uint32) | np.uint32(1)

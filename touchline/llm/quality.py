@@ -22,7 +22,7 @@ from touchline.llm.labelled import held_out, sample, sigmoid, words_of
 SIZE = 1 << 14
 STEPS = 200
 THRESHOLD = 0.5
-_BATCH_ROWS = 4000
+_BATCH_ROWS = 1000
 _TABLE = 1 << 24
 _SHAPES = ((r"\p{Lu}+", "X"), (r"\p{Ll}+", "x"), (r"[^\P{L}Xx]+", "y"), (r"\p{Nd}+", "0"), (r"([^Xxy0])[^Xxy0]*", r"\1"))
 
