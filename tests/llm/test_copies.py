@@ -254,3 +254,28 @@ def test_runs_of_units():
     doc, start, end, one, _two = unit_dedup.runs_of(pa.array([None, text, ""]), 8, 5)
     assert sorted(zip(doc.tolist(), start.tolist(), end.tolist(), strict=True)) == [(1, 0, 11), (1, 2, 11), (1, 2, 13)]
     assert len(set(one.tolist())) == 3
+
+
+def test_repeats_without_whole_units(spark):
+    """Passages of 50 words and more without capitals, marks or lines of their own go as a whole, and nothing else does."""
+    draw = random.Random(11)
+    flow = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    texts, expected = {}, {}
+    for i, n in enumerate((50, 51, 60, 75, 120, 400)):
+        passage = flow(n)
+        for j, (before, after) in enumerate(((30, 40), (7, 3), (0, 90), (200, 0))):
+            key = 10 * i + j
+            texts[key] = " ".join([*flow(before), *passage, *flow(after)])
+            expected[key] = set(range(before, before + n)) if j else set()
+    short, long = flow(49), flow(130)
+    texts |= {100: " ".join(flow(9) + short + flow(9)), 101: " ".join(flow(4) + short + flow(9))}
+    # A part of a passage, the passage twice in a text, and a passage inside long sentences.
+    texts |= {102: " ".join(flow(5) + long + flow(5)), 103: " ".join(flow(8) + long[33:99] + flow(2) + long + flow(3))}
+    texts[104] = "It says " + " ".join(flow(20) + long[10:90] + flow(20)) + ". Then it ends."
+    expected |= {103: set(range(8, 74)) | set(range(76, 206)), 104: set(range(22, 102))}
+    got = unit_dedup.remove_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert len(got) == len(texts)
+    for row in got:
+        words = [m.span() for m in re.finditer(r"\S+", texts[row["doc_id"]])]
+        removed = {i for i, (a, b) in enumerate(words) if any(s["start"] <= a and b <= s["end"] for s in row["removed"])}
+        assert removed == expected.get(row["doc_id"], set()), row["doc_id"]
