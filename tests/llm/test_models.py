@@ -92,6 +92,24 @@ def test_op9_recall(spark):
     assert hits / (5 * len(queries)) >= 0.9
 
 
+def test_hubs_keep_their_own_neighbours(spark):
+    own = [(0, i, 0.9, False) for i in range(1, 33)]
+    reverse = [(i, 0, i / 1e4, False) for i in range(100, 3000)]
+    graph = spark.createDataFrame(own + reverse, "node long, nbr long, sim float, fresh boolean")
+    got = {r["nbr"] for r in neighbours._links(graph).where("node = 0").collect()}
+    assert got == set(range(1, 33)) | set(range(3000 - neighbours.BACK, 3000))
+
+
+def test_walk_ends_only_without_open_nodes(spark):
+    n, angle = 24, np.linspace(np.pi, 0, 24)
+    rows = [(i, np.array([np.cos(a), np.sin(a)], np.float16).tobytes()) for i, a in enumerate(angle)]
+    nodes = spark.createDataFrame(rows, "node long, short binary")
+    graph = spark.createDataFrame([(i, i + 1, 0.5, False) for i in range(n - 1)], "node long, nbr long, sim float, fresh boolean")
+    queries = spark.createDataFrame([(7, rows[-1][1])], "query long, q binary")
+    found = neighbours.walk(spark.createDataFrame([(7, 0)], "query long, node long"), queries, nodes, graph, beam=3)
+    assert {r["node"] for r in found.collect()} == {n - 3, n - 2, n - 1}
+
+
 def test_neighbours_of_odd_rows(spark):
     draw = np.random.default_rng(0)
     rows = [(i, draw.standard_normal(8).tolist()) for i in range(1, 40)]

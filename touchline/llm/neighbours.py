@@ -6,8 +6,8 @@ lie side by side along random directions. Each round then joins neighbours of
 neighbours: every node gathers the vectors of some of its neighbours, in both
 directions, compares them with each other, and offers each pair to its two
 ends. A query starts at its own node, or at fixed entry nodes when it has
-none, and goes on to the neighbours of the best nodes found until no better
-one is left. Answers are scored in double precision on the original vectors.
+none, and goes on to the neighbours of the best nodes found until none of them
+is left unexpanded. Answers are scored in double precision on the original vectors.
 
 Lists per node are bounded, so a node that is near to very many others costs
 no more than any other. That bound makes the method approximate, not its
@@ -34,7 +34,7 @@ ORDERINGS = 4
 BLOCK = 384
 PLANES = 6
 BEAM = 160
-WALK_ROUNDS = 8
+BACK = 64
 ENTRIES = 32
 _SMALL = "node long, nbr long, sim float, fresh boolean"
 
@@ -201,18 +201,24 @@ def build(nodes: DataFrame, degree: int = DEGREE, sample: int = SAMPLE, rounds:
     return graph
 
 
-def walk(starts: DataFrame, queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, rounds: int = WALK_ROUNDS) -> DataFrame:
+def _links(graph: DataFrame, back: int = BACK) -> DataFrame:
+    """``(node, nbr)``: all neighbours of a node, and the ``back`` nearest of those that have it as a neighbour."""
+    near = Window.partitionBy("node").orderBy(F.desc("sim"), "nbr")
+    reverse = graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "sim")
+    reverse = reverse.withColumn("at", F.row_number().over(near)).where(F.col("at") <= back)
+    return graph.select("node", "nbr").unionByName(reverse.select("node", "nbr")).distinct()
+
+
+def walk(starts: DataFrame, queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM) -> DataFrame:
     """``(query, node, sim)``: the ``beam`` best nodes found for each query.
 
     ``starts`` has ``(query, node)``, ``queries`` ``(query, q)`` with unit
     vectors in half precision. Each round expands the nodes of the beam that
-    have not been expanded; the walk ends when there are none.
+    have not been expanded; the walk ends when there are none. It does end: no
+    node enters a beam twice, and a beam only gets nearer.
     """
     shorts = nodes.select("node", "short")
-    links = graph.select("node", "nbr").unionByName(graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
-    # A node that very many others have as a neighbour passes on the first by hash only.
-    few = Window.partitionBy("node").orderBy(F.xxhash64("nbr", "node"))
-    links = staged(links.withColumn("at", F.row_number().over(few)).where(F.col("at") <= 3 * DEGREE).drop("at"), "links")
+    links = staged(_links(graph), "links")
     best = Window.partitionBy("query").orderBy(F.desc("sim"), "node")
 
     def measured(pairs: DataFrame) -> DataFrame:
@@ -220,7 +226,7 @@ def walk(starts: DataFrame, queries: DataFrame, nodes: DataFrame, graph: DataFra
 
     found = measured(starts.distinct()).withColumn("open", F.lit(True))
     found = staged(found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= beam).drop("at"), "walk")
-    for _ in range(rounds):
+    while True:
         todo = found.where("open").select("query", "node")
         if todo.isEmpty():
             break
