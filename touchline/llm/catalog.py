@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, fingerprints, near_dup, neighbours, packing, quality, token_files, toxicity, unit_dedup, url_rules
+from touchline.llm import bpe, fingerprints, merkle, near_dup, neighbours, packing, quality, token_files, toxicity, unit_dedup, url_rules
 from touchline.llm.common import table
 from touchline.sources.scratch import scratch_dir
 
@@ -66,6 +66,10 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op8_token_files,
         op9_nn_descent,
         op10_ordinal_quality,
+        op13_merkle_manifest,
     )
 }
 ORACLES: dict[str, str] = {"op5_minhash_near_dup": near_dup.ORACLE_SQL, "op6_url_filter": url_rules.ORACLE_SQL}
