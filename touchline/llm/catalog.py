@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, fingerprints, merkle, near_dup, neighbours, packing, quality, token_files, toxicity, unit_dedup, url_rules
+from touchline.llm import bpe, fingerprints, merkle, near_dup, neighbours, packing, quality, token_files, toxicity, unit_dedup, url_rules, warc
 from touchline.llm.common import table
 from touchline.sources.scratch import scratch_dir
 
@@ -66,6 +66,11 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_round_trip(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
         op8_token_files,
         op9_nn_descent,
         op10_ordinal_quality,
+        op11_warc_archives,
         op13_merkle_manifest,
     )
 }
