@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import io
 import zipfile
@@ -61,7 +62,7 @@ def test_archives_are_zip_files_with_an_index(spark):
     assert len(written) == 1 and written[0].records == len(ROWS)
     with zipfile.ZipFile(written[0].path) as archive:
         assert archive.namelist() == [warc.WARC_MEMBER, warc.INDEX_MEMBER]
-        body = archive.read(warc.WARC_MEMBER)
+        body = gzip.decompress(archive.read(warc.WARC_MEMBER))
         index = archive.read(warc.INDEX_MEMBER).decode().split()
     assert body.count(b"WARC/1.1\r\n") >= len(ROWS) and len(index) == 2 * len(ROWS)
     assert b"\r\nX-Injected" not in body and b"%0D%0AX-Injected" in body

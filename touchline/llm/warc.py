@@ -1,9 +1,11 @@
 """Web pages as WARC records in ZIP archives, and a reader that range-reads them without extraction.
 
 Writing. Each task writes its rows as archives below a shared folder: a ZIP
-file with two stored (uncompressed) members, ``records.warc`` with one WARC/1.1
-record per row and ``records.cdx`` with one line ``offset length`` per record
-(offsets inside the WARC member). Archives always carry ZIP64 fields and the
+file with two stored members, ``records.warc.gz`` with one WARC/1.1 record per
+row, each record its own gzip member (as in ``.warc.gz`` files), and
+``records.cdx`` with one line ``offset length`` per record (offsets inside the
+WARC member). The ZIP layer compresses nothing, so a record is read by its
+range alone and decompressed by itself. Archives always carry ZIP64 fields and the
 ZIP64 end records, so they may outgrow 4 GiB and 65,535 members. The names of
 the archives a job wrote come back as rows; only they are read, so files of
 failed task attempts never count.
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import gzip
 import hashlib
 import struct
 import uuid
@@ -47,7 +50,8 @@ ARCHIVE_BYTES = 256 << 20
 #: Rows per Arrow batch the reader hands back.
 BATCH_ROWS = 2048
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-WARC_MEMBER, INDEX_MEMBER = "records.warc", "records.cdx"
+WARC_MEMBER, INDEX_MEMBER = "records.warc.gz", "records.cdx"
+GZIP_LEVEL = 6
 
 _LOCAL, _DESCRIPTOR, _CENTRAL = 0x04034B50, 0x08074B50, 0x02014B50
 _END, _END64, _LOCATOR64 = 0x06054B50, 0x06064B50, 0x07064B50
@@ -288,6 +292,7 @@ def write_archives(decided: DataFrame, folder: str) -> DataFrame:
                     row["record_type"], record_id, date, row["page_id"], row["url"], row["payload"], row["payload_bytes"],
                     row["payload_digest"], row["refers_to"], row["refers_url"],
                 )
+                data = gzip.compress(data, compresslevel=GZIP_LEVEL, mtime=0)
                 state["index"].append((state["zip"].write(data), len(data)))
                 if state["zip"].size >= ARCHIVE_BYTES:
                     close()
@@ -318,7 +323,7 @@ def read_archives(written: DataFrame) -> DataFrame:
                     index_at, index_size = members[INDEX_MEMBER]
                     for line in source.read_at(index_size, index_at).decode().splitlines():
                         offset, length = map(int, line.split())
-                        row = parse_record(source.read_at(length, warc_at + offset))
+                        row = parse_record(gzip.decompress(source.read_at(length, warc_at + offset)))
                         rows.append(row | {"archive": path, "offset": offset, "length": length})
                         if len(rows) >= BATCH_ROWS:
                             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
