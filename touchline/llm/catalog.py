@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, fingerprints, merkle, near_dup, neighbours, packing, quality, token_files, toxicity, unit_dedup, url_rules, warc
+from touchline.llm import bpe, fingerprints, merkle, near_dup, neighbours, packing, quality, token_files, toxicity, unit_dedup, url_rules, variants, warc
 from touchline.llm.common import table
 from touchline.sources.scratch import scratch_dir
 
@@ -71,6 +71,10 @@ def op11_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variant_forms(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
         op9_nn_descent,
         op10_ordinal_quality,
         op11_warc_archives,
+        op12_spelling_variants,
         op13_merkle_manifest,
     )
 }
