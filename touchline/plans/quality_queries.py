@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions import fixed_values as fixed
-from touchline.operators import quality, runs
+from touchline.operators import chains, quality, runs
 from touchline.plans.registry import day_sql, query, stamp_sql
 from touchline.plans.tables import table
 
@@ -237,6 +237,48 @@ def state_durations(spark, sf_dir):
     return runs.state_durations(log, entered="signup", exited="purchase", failed="error")
 
 
+_CHAIN_KINDS = "('signup', 'purchase', 'error')"
+
+
+@query(
+    "state_chain",
+    f"""WITH RECURSIVE chain AS (
+        SELECT user_id, event_id, ts, event_type, props, CAST(json_extract(props, '$.k') AS BIGINT) % 3 AS state,
+               lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS prev
+        FROM events WHERE event_type IN {_CHAIN_KINDS}),
+    walk(user_id, event_id, owner) AS (
+        SELECT user_id, event_id, event_id FROM chain WHERE event_type = 'signup'
+        UNION ALL
+        SELECT c.user_id, c.event_id, w.owner FROM walk w JOIN chain c ON c.user_id = w.user_id AND c.prev = w.event_id
+        WHERE c.event_type <> 'signup'),
+    marks AS (
+        SELECT c.user_id, w.owner, max(c.event_id) FILTER (c.event_type = 'purchase') AS x,
+               max(c.event_id) FILTER (c.event_type = 'error') AS f, count(*) AS n
+        FROM walk w JOIN chain c ON c.event_id = w.event_id WHERE c.event_type <> 'signup' GROUP BY 1, 2)
+    SELECT e.user_id AS run_id, e.state, e.event_id AS entered_id, {stamp_sql("e.ts")} AS entered_at,
+           {stamp_sql("x.ts")} AS exited_at, {stamp_sql("f.ts")} AS failed_at,
+           CASE WHEN x.ts IS NOT NULL THEN 'COMPLETED' WHEN f.ts IS NOT NULL THEN 'FAILED' ELSE 'UNKNOWN' END AS status,
+           coalesce({_spent_sql("e.ts", "coalesce(x.ts, f.ts)")}, 'N/A') AS duration,
+           f.event_type AS error, f.props AS cause, coalesce(m.n, 0) AS events
+    FROM chain e LEFT JOIN marks m ON m.user_id = e.user_id AND m.owner = e.event_id
+    LEFT JOIN chain x ON x.event_id = m.x LEFT JOIN chain f ON f.event_id = m.f
+    WHERE e.event_type = 'signup'""",
+)
+def state_chain(spark, sf_dir):
+    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "purchase", "error"))
+    log = events.select(
+        F.col("user_id").alias("run_id"),
+        (F.get_json_object("props", "$.k").cast("bigint") % 3).alias("state"),
+        F.col("event_id").alias("id"),
+        F.col("ts").alias("timestamp"),
+        F.col("event_type").alias("type"),
+        F.col("event_type").alias("error"),
+        F.col("props").alias("cause"),
+    )
+    log = chains.previous_in_run(log, "run_id", "id")
+    return chains.state_chain(log, entered="signup", exited="purchase", failed="error")
+
+
 _NOW = "2024-02-01 00:00:00"
 _STOP = "CASE WHEN event_type <> 'error' THEN ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) END"
 
