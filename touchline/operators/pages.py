@@ -1,7 +1,7 @@
 """Stored schedule pages to rows.
 
-One ``mapInArrow`` pass tokenises each page and emits the cells of its table
-rows; choosing columns from the cells is left to Spark expressions. Pages are
+One ``mapInArrow`` pass reads each page once, token by token, and emits the
+cells of its table rows (no element tree is built); choosing columns from the cells is left to Spark expressions. Pages are
 independent of each other, so nothing is shuffled.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions import fixed_values as fixed
-from touchline.functions import markup, text
+from touchline.functions import page_scan, text
 
 _CELL = pa.struct([("label", pa.string()), ("text", pa.string())])
 _CELLS = T.ArrayType(
@@ -41,7 +41,7 @@ def table_rows(pages: DataFrame, layout: str, html: str = "html") -> DataFrame:
     )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows_of = markup.LAYOUTS[layout]
+        rows_of = page_scan.LAYOUTS[layout]
         for batch in batches:
             for start in range(0, batch.num_rows, _PAGES_AT_A_TIME):
                 part = batch.slice(start, _PAGES_AT_A_TIME)
