@@ -83,11 +83,16 @@ def test_equals_brute_force(spark, monkeypatch, cell_words):
 
 def test_kd_search_equals_all_pairs():
     rng = np.random.default_rng(3)
-    points = rng.integers(0, 3, size=(300, 6)).astype(np.int16)
-    queries = rng.integers(0, 3, size=(80, 6)).astype(np.int16)
-    budgets = rng.integers(1, 3, size=80).astype(np.int16)
-    want = {(q, p) for q in range(80) for p in range(300) if np.abs(queries[q] - points[p]).sum() <= budgets[q] and np.abs(queries[q] - points[p]).max() <= 1}
-    assert set(variants.kd_search(points, queries, budgets)) == want
+    points = rng.integers(0, 3, size=(3000, 6)).astype(np.int16)
+    queries = rng.integers(0, 3, size=(500, 6)).astype(np.int16)
+    downs = rng.integers(0, 2, size=500).astype(np.int8)
+
+    def fits(q, p):
+        gap = points[p] - queries[q]
+        return np.abs(gap).max() <= 1 and (gap == 1).sum() <= 1 and (gap == -1).sum() <= downs[q]
+
+    want = {(q, p) for q in range(500) for p in range(3000) if fits(q, p)}
+    assert set(variants.kd_search(points, queries, downs)) == want and len(want) > 100
 
 
 def test_one_edit():

@@ -37,8 +37,9 @@ ALPHABET = LOWER + "".join(map(chr, range(0xC0, 0x100)))  # dimensions of the co
 CELL_WORDS = 2048
 #: Copies of a small table of splits, so that a hot cell meets them in as many tasks.
 SALT = 32
-#: Points in a leaf of the local k-d tree.
+#: Points in a leaf of the local k-d tree, and queries compared with a leaf at once.
 LEAF_POINTS = 16
+LEAF_QUERIES = 2048
 
 
 def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -100,9 +101,10 @@ def _splits(points: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _routes(queries: DataFrame, splits: DataFrame) -> DataFrame:
-    """Leaf cells each query's box reaches: own side at each split, the other while crossings are left."""
+    """Leaf cells each query's box reaches: its own side at each split, the other where one more or one
+    fewer of the split letter takes it there, while such steps are left (``ups``, ``downs``)."""
     splits = staged(splits, "variants-all-splits")
-    routes = queries.withColumn("cell", F.lit(1).cast("long")).withColumn("spent", F.lit(0))
+    routes = queries.withColumn("cell", F.lit(1).cast("long"))
     done = None
     while True:
         routes = staged(_salted(routes, splits, ["length", "cell"], F.xxhash64("query", "cell")), "variants-routes")
@@ -113,13 +115,15 @@ def _routes(queries: DataFrame, splits: DataFrame) -> DataFrame:
             return done
         c = F.coalesce(F.col("qcounts")[F.col("letter")], F.lit(0))
         own = (c > F.col("at")).cast("long")
-        # The box of one reaches across only from the count next to the threshold.
-        near = F.when(own == 1, c == F.col("at") + 1).otherwise(c == F.col("at"))
-        steps = F.when(near & (F.col("spent") < F.col("budget")), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        # Left to right needs one more of the letter, right to left one fewer: each edit allows one of each at most.
+        up = (own == 0) & (c == F.col("at")) & (F.col("ups") > 0)
+        down = (own == 1) & (c == F.col("at") + 1) & (F.col("downs") > 0)
+        steps = F.when(up | down, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
         routes = inner.select("*", F.explode(steps).alias("cross")).select(
-            "query", "qcounts", "length", "budget",
+            "query", "qcounts", "length", "delete",
             (F.col("cell") * 2 + F.when(F.col("cross") == 1, 1 - own).otherwise(own)).alias("cell"),
-            (F.col("spent") + F.col("cross")).alias("spent"),
+            (F.col("ups") - F.when((F.col("cross") == 1) & (own == 0), 1).otherwise(0)).alias("ups"),
+            (F.col("downs") - F.when((F.col("cross") == 1) & (own == 1), 1).otherwise(0)).alias("downs"),
         )
 
 
@@ -137,32 +141,39 @@ def one_edit(a: str, b: str) -> bool:
 
 def _vectors(words: list[str]) -> np.ndarray:
     place = {c: i for i, c in enumerate(ALPHABET)}
-    out = np.zeros((len(words), len(ALPHABET)), dtype=np.int16)
+    out = np.zeros((len(words), len(ALPHABET)), dtype=np.int16)  # counts of very long words exceed a byte
     for row, word in enumerate(words):
         for c in word:
             out[row, place[c]] += 1
     return out
 
 
-def kd_search(points: np.ndarray, queries: np.ndarray, budgets: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs (query, point) within L1 distance ``budget`` and one in every count, found by a k-d tree.
+def kd_search(points: np.ndarray, queries: np.ndarray, downs: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (query, point) where the point has at most one count one higher and at most ``downs`` (0 or 1)
+    counts one lower than the query, all others equal: what one edit can do. Found by a k-d tree.
 
     Each node splits on its widest dimension at the median; all queries walk
-    the tree together and enter a child only if their box (one around each
-    count) reaches it and their crossings stay within the budget.
+    the tree together and enter the other child only where one more (or one
+    fewer) of that letter takes them there and such a step is left. Leaves
+    compare a bounded number of queries at a time.
     """
     found: list[tuple[int, int]] = []
-    stack = [(np.arange(len(points)), np.arange(len(queries)), np.zeros(len(queries), dtype=np.int16))]
+    n = len(queries)
+    stack = [(np.arange(len(points)), np.arange(n), np.ones(n, dtype=np.int8), downs.astype(np.int8))]
     while stack:
-        members, asking, spent = stack.pop()
+        members, asking, ups_left, downs_left = stack.pop()
         if len(members) == 0 or len(asking) == 0:
             continue
         box = points[members]
         spread = box.max(axis=0) - box.min(axis=0)
         if len(members) <= LEAF_POINTS or spread.max() == 0:
-            gap = np.abs(queries[asking][:, None, :] - box[None, :, :])
-            qi, pi = np.nonzero((gap.sum(axis=2) <= budgets[asking][:, None]) & (gap.max(axis=2) <= 1))
-            found.extend(zip(asking[qi].tolist(), members[pi].tolist(), strict=True))
+            for lo in range(0, len(asking), LEAF_QUERIES):
+                chunk = asking[lo : lo + LEAF_QUERIES]
+                gap = box[None, :, :] - queries[chunk][:, None, :]
+                fits = (gap.max(axis=2) <= 1) & (gap.min(axis=2) >= -1) & ((gap == 1).sum(axis=2) <= 1)
+                fits &= (gap == -1).sum(axis=2) <= downs[chunk][:, None]
+                qi, pi = np.nonzero(fits)
+                found.extend(zip(chunk[qi].tolist(), members[pi].tolist(), strict=True))
             continue
         dim = int(spread.argmax())
         at = int(np.median(box[:, dim]))
@@ -171,11 +182,16 @@ def kd_search(points: np.ndarray, queries: np.ndarray, budgets: np.ndarray) -> l
         left = box[:, dim] <= at
         c = queries[asking, dim]
         own_left = c <= at
+        # Stay on the own side, or step over with one more (to the right) or one fewer (to the left).
+        stay = np.ones(len(asking), dtype=bool)
+        step_up = own_left & (c == at) & (ups_left > 0)
+        step_down = ~own_left & (c == at + 1) & (downs_left > 0)
         for go_left, part in ((True, members[left]), (False, members[~left])):
-            cross = own_left != go_left
-            reach = np.where(go_left, c - 1 <= at, c + 1 > at)
-            ok = reach & (~cross | (spent < budgets[asking]))
-            stack.append((part, asking[ok], (spent + cross)[ok]))
+            own = own_left == go_left
+            ok = np.where(own, stay, step_up if not go_left else step_down)
+            ups = ups_left - (~own & ~go_left)
+            dns = downs_left - (~own & go_left)
+            stack.append((part, asking[ok], ups[ok].astype(np.int8), dns[ok].astype(np.int8)))
     return found
 
 
@@ -184,7 +200,7 @@ def _leaf_pairs(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"word": pd.Series(dtype=str), "near": pd.Series(dtype=str)})
     queries = queries.drop_duplicates("query")
     words, asked = points["word"].tolist(), queries["query"].tolist()
-    pairs = kd_search(_vectors(words), _vectors(asked), queries["budget"].to_numpy(dtype=np.int16))
+    pairs = kd_search(_vectors(words), _vectors(asked), queries["delete"].to_numpy(dtype=np.int8))
     kept = [(asked[q], words[p]) for q, p in pairs if one_edit(asked[q], words[p])]
     return pd.DataFrame(kept, columns=["word", "near"], dtype=str)
 
@@ -194,9 +210,11 @@ def near_pairs(words: DataFrame) -> DataFrame:
     points = words.select("word", "n", F.char_length("word").alias("length"), _letter_counts(F.col("word")).alias("counts"))
     points, splits = _splits(points)
     base = points.select(F.col("word").alias("query"), F.col("counts").alias("qcounts"), "length")
-    # Same length: substitutions, L1 two. One shorter: the query is the shorter word, L1 one.
-    queries = base.withColumn("budget", F.lit(2)).unionByName(base.withColumn("length", F.col("length") + 1).withColumn("budget", F.lit(1)))
-    routes = _routes(queries, splits).select("length", "cell", "query", "budget")
+    # Same length: a substitution, one letter more and one fewer. One shorter: the query is the shorter word, one letter more.
+    same = base.withColumn("delete", F.lit(1))
+    longer = base.withColumn("length", F.col("length") + 1).withColumn("delete", F.lit(0))
+    queries = same.unionByName(longer).withColumn("ups", F.lit(1)).withColumn("downs", F.col("delete"))
+    routes = _routes(queries, splits).select("length", "cell", "query", "delete")
     found = points.select("length", "cell", "word").groupBy("length", "cell").cogroup(routes.groupBy("length", "cell")).applyInPandas(
         lambda p, q: _leaf_pairs(p, q), "word string, near string"
     )
