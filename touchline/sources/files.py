@@ -44,8 +44,9 @@ def json_texts(spark: SparkSession, paths: str | list[str], keep: Callable[[Colu
     text found; so does a file of blank lines (Spark shows no file of no bytes at
     all). Nothing is decided by size.
 
-    The paths of the files read whole go through the driver, where Spark keeps
-    the list of all files as well.
+    Files are read once, as lines in splits; a file read whole is joined back
+    from its lines in order (line ends become ``\\n``). Only Spark's own file
+    listing is held by the driver.
     """
     chosen = (keep or is_data_file)(F.col("path"))
     read = spark.read.option("recursiveFileLookup", True)
@@ -60,10 +61,10 @@ def json_texts(spark: SparkSession, paths: str | list[str], keep: Callable[[Colu
     empty = listed.join(first, "path", "left_anti").select("path", F.lit("").alias("text"), F.lit(EMPTY_FILE).alias("reason"))
 
     of_lines = _line_rows(filled.join(first.where("not whole").select("path"), "path", "left_semi"))
-    documents = [r[0] for r in first.where("whole").select("path").collect()]
-    if not documents:
-        return of_lines.unionByName(empty)
-    whole = read.text(documents, wholetext=True).select(named, F.col("value").alias("text"))
+    # A document file is put back together from the same scan of lines, in order, so no path goes through the driver.
+    own = lines.where(chosen).join(first.where("whole").select("path"), "path", "left_semi")
+    ordered = F.array_sort(F.collect_list(F.struct("block", "row", "text")))
+    whole = own.groupBy("path").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("text"))
     body, parsed = F.trim("text"), F.try_parse_json("text").isNotNull()
     listing = F.when(parsed & body.startswith("["), F.from_json("text", "array<string>"))
     single = F.when(parsed & ~body.startswith("["), F.array(F.col("text")))
