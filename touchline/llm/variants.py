@@ -40,6 +40,8 @@ SALT = 32
 #: Points in a leaf of the local k-d tree, and queries compared with a leaf at once.
 LEAF_POINTS = 16
 LEAF_QUERIES = 2048
+#: Leaf cells of the distributed tree handed to one call of Python, on average.
+CELLS_PER_TASK = 16
 
 
 def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -205,6 +207,13 @@ def _leaf_pairs(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(kept, columns=["word", "near"], dtype=str)
 
 
+def _bucket_pairs(points: pd.DataFrame, routes: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of every cell in a bucket, one cell at a time."""
+    asked = {key: part for key, part in routes.groupby(["length", "cell"])} if not routes.empty else {}
+    found = [_leaf_pairs(part, asked[key]) for key, part in points.groupby(["length", "cell"]) if key in asked]
+    return pd.concat(found, ignore_index=True) if found else _leaf_pairs(points.iloc[:0], routes.iloc[:0])
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """Both directions of every pair of words one edit apart: (word, near)."""
     points = words.select("word", "n", F.char_length("word").alias("length"), _letter_counts(F.col("word")).alias("counts"))
@@ -214,10 +223,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
     same = base.withColumn("delete", F.lit(1))
     longer = base.withColumn("length", F.col("length") + 1).withColumn("delete", F.lit(0))
     queries = same.unionByName(longer).withColumn("ups", F.lit(1)).withColumn("downs", F.col("delete"))
-    routes = _routes(queries, splits).select("length", "cell", "query", "delete")
-    found = points.select("length", "cell", "word").groupBy("length", "cell").cogroup(routes.groupBy("length", "cell")).applyInPandas(
-        lambda p, q: _leaf_pairs(p, q), "word string, near string"
-    )
+    # A call of Python takes about CELLS_PER_TASK cells, and no cell without words: many lengths hold only a few.
+    cells = points.select("length", "cell").distinct()
+    spread = max(1, cells.count() // CELLS_PER_TASK)
+    bucket = F.pmod(F.xxhash64("length", "cell"), F.lit(spread)).alias("__llm_bucket")
+    routes = _routes(queries, splits).select("length", "cell", "query", "delete").join(cells, ["length", "cell"], "left_semi")
+    found = points.select(bucket, "length", "cell", "word").groupBy("__llm_bucket").cogroup(
+        routes.select(bucket, "length", "cell", "query", "delete").groupBy("__llm_bucket")
+    ).applyInPandas(_bucket_pairs, "word string, near string")
     return found.unionByName(found.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
 
 
