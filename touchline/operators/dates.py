@@ -6,7 +6,7 @@ length of the range and happens row by row, without a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions import fixed_values as fixed
@@ -161,3 +161,47 @@ def frontier(
     """Days still to be fetched and the address of each page."""
     todo = skip_done(date_spine(ranges).select("date").distinct(), ledger, stage, force)
     return todo.withColumn("url", text.page_address(F.col("date"), base_url, facility_id))
+
+
+#: Most days of a calendar table that may be broadcast (about 11,000 years).
+BROADCAST_DAYS = 4_000_000
+
+
+def gap_ranges(ranges: DataFrame, data: DataFrame, key: str, date: str = "date") -> DataFrame:
+    """Runs of days without data inside each range: ``key``, ``gap_start``, ``gap_end``, ``days``.
+
+    Gaps and islands: the distinct days with data, framed by the day before the
+    first range and the day after the last, are put in order once, and
+    ``lead`` gives the gaps between them (the days are bounded by the calendar,
+    not by the rows). A range meets exactly the gaps from the first that ends
+    on or after its start to the last that starts on or before its end; a table
+    with one row per calendar day names both, so each range is joined to the
+    gaps it overlaps and never expanded into days. The expansion of the result
+    equals :func:`missing_dates`. Ranges with a null bound or start after end give nothing.
+    """
+    spark = ranges.sparkSession
+    bounds = ranges.agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi")).first()
+    if bounds["lo"] is None:
+        return spark.createDataFrame([], f"{key} {ranges.schema[key].simpleString().split(':')[-1]}, gap_start date, gap_end date, days bigint")
+    lo, hi = bounds["lo"], bounds["hi"]
+    frame = F.lit(lo).cast("date"), F.lit(hi).cast("date")
+    seen = date_set(data, date).where(F.col(date).between(*frame)).select(F.col(date).alias("day"))
+    edges = spark.createDataFrame([(None,)], "x int").select(F.explode(F.array(F.date_sub(frame[0], 1), F.date_add(frame[1], 1))).alias("day"))
+    ordered = Window.orderBy("day")
+    gaps = seen.unionByName(edges).select(F.date_add("day", 1).alias("g_start"), F.date_sub(F.lead("day").over(ordered), 1).alias("g_end"))
+    gaps = gaps.where(F.col("g_start") <= F.col("g_end")).withColumn("k", F.row_number().over(Window.orderBy("g_start")))
+    gap_days = gaps.select("k", F.explode(F.sequence("g_start", "g_end")).alias("day"))
+    calendar = spark.createDataFrame([(None,)], "x int").select(F.explode(F.sequence(*frame)).alias("day"))
+    calendar = calendar.join(gap_days, "day", "left")
+    after, before = Window.orderBy("day").rowsBetween(0, Window.unboundedFollowing), Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    calendar = calendar.select("day", F.first("k", True).over(after).alias("first_gap"), F.last("k", True).over(before).alias("last_gap"))
+    small = (hi - lo).days + 1 <= BROADCAST_DAYS
+    sized = (lambda df: F.broadcast(df)) if small else (lambda df: df)
+    firsts = sized(calendar.select(F.col("day").alias("s_day"), "first_gap"))
+    lasts = sized(calendar.select(F.col("day").alias("e_day"), "last_gap"))
+    spans = ranges.join(firsts, F.col("start_date") == F.col("s_day")).join(lasts, F.col("end_date") == F.col("e_day"))
+    spans = spans.where(F.col("first_gap") <= F.col("last_gap")).select(key, "start_date", "end_date", F.explode(F.sequence("first_gap", "last_gap")).alias("k"))
+    met = spans.join(sized(gaps), "k")
+    start, end = F.greatest("start_date", "g_start"), F.least("end_date", "g_end")
+    out = met.select(key, start.alias("gap_start"), end.alias("gap_end"))
+    return out.where(F.col("gap_start") <= F.col("gap_end")).withColumn("days", (F.datediff("gap_end", "gap_start") + 1).cast("bigint"))

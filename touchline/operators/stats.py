@@ -23,6 +23,23 @@ def count_by_calendar(df: DataFrame, date: str, *parts: str, name: str = "games"
     return count_by(df, *[F.extract(F.lit(p), F.col(date)).cast("bigint").alias(p) for p in parts], name=name)
 
 
+def calendar_rollup(df: DataFrame, date: str, key: str, name: str = "games") -> DataFrame:
+    """Counts per day, month, year and in all, each with and without ``key``, from one scan.
+
+    Grouping sets; ``level`` is the grouping id over (key, year, month, day):
+    a bit is set for each column summed over, so a null key or day of the
+    data is told apart from a subtotal.
+    """
+    parts = [F.extract(F.lit(p), F.col(date)).cast("bigint").alias(p) for p in ("year", "month", "day")]
+    rows = df.select(F.col(key), *parts)
+    chains = [["year", "month", "day"], ["year", "month"], ["year"], []]
+    sets = [[key, *c] for c in chains] + chains
+    counted = rows.groupingSets(sets, key, "year", "month", "day").agg(
+        F.grouping_id(key, "year", "month", "day").cast("bigint").alias("level"), F.count(F.lit(1)).alias(name)
+    )
+    return counted
+
+
 def count_by_month_name(df: DataFrame, date: str) -> DataFrame:
     """Count per calendar month over all years, in calendar order."""
     counted = count_by(df, F.month(date).alias("month"))

@@ -404,6 +404,23 @@ _COVERAGE = f"""count(*) AS total_days, count(*) FILTER (present) AS processed_d
     coalesce(string_agg({day_sql("date")}, '|' ORDER BY date) FILTER (NOT present), '') AS missing_days"""
 
 
+@query(
+    "gap_ranges",
+    f"""WITH {_spine_sql(10)},
+    urgent AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderpriority = '1-URGENT'),
+    miss AS (SELECT o_orderkey, date FROM spine WHERE date NOT IN (SELECT date FROM urgent)),
+    isl AS (SELECT o_orderkey, date, date - CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY date) AS INTEGER) AS island
+            FROM miss)
+    SELECT o_orderkey, {day_sql("min(date)")} AS gap_start, {day_sql("max(date)")} AS gap_end, count(*) AS days
+    FROM isl GROUP BY o_orderkey, island""",
+)
+def gap_ranges(spark, sf_dir):
+    """Runs of days without an urgent order inside each order's range, all orders read."""
+    orders = table(spark, sf_dir, "orders")
+    urgent = orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.to_date("o_orderdate").alias("date"))
+    return dates.gap_ranges(_ranges(spark, sf_dir, 10), urgent, "o_orderkey")
+
+
 @query(
     "coverage_summary",
     f"""WITH {_spine_sql(10)}, {_PRESENT_SQL},

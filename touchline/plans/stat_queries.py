@@ -59,6 +59,20 @@ def per_day(spark, sf_dir):
     return stats.count_by_calendar(contests(spark, sf_dir), "game_date", "year", "month", "day")
 
 
+_ROLLUP_SETS = "((league, year, month, day), (league, year, month), (league, year), (league), (year, month, day), (year, month), (year), ())"
+
+
+@query(
+    "calendar_rollup",
+    f"""WITH {contests_sql('league')}, c AS (SELECT league, CAST(extract(year FROM game_date) AS BIGINT) AS year,
+        CAST(extract(month FROM game_date) AS BIGINT) AS month, CAST(extract(day FROM game_date) AS BIGINT) AS day FROM contests)
+    SELECT league, year, month, day, CAST(GROUPING(league, year, month, day) AS BIGINT) AS level, count(*) AS games
+    FROM c GROUP BY GROUPING SETS {_ROLLUP_SETS}""",
+)
+def calendar_rollup(spark, sf_dir):
+    return stats.calendar_rollup(contests(spark, sf_dir, "league"), "game_date", "league")
+
+
 @query("by_league", f"WITH {contests_sql('league')} SELECT league, count(*) AS games FROM contests GROUP BY league")
 def by_league(spark, sf_dir):
     return stats.count_by(contests(spark, sf_dir, "league"), "league").orderBy(F.desc("games"), "league")
