@@ -350,6 +350,35 @@ def run_log(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+_VALID_SQL = "coalesce(event_type <> 'error', false)"
+
+
+def _observed(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    valid = F.col("event_type") != "error"
+    return sinks.write_observed(events, scratch_dir(spark, "observed"), valid, "value", "ts", "events")
+
+
+@query(
+    "observed_run_log",
+    f"""SELECT 'events' AS run_id, count(*) FILTER ({_VALID_SQL}) AS valid_rows,
+           count(*) FILTER (NOT {_VALID_SQL}) AS rejected_rows,
+           CAST(sum(floor(value)) FILTER ({_VALID_SQL}) AS BIGINT) AS new_rows, {stamp_sql("max(ts)")} AS finished_at
+    FROM events""",
+)
+def observed_run_log(spark, sf_dir):
+    """Counts of a write of valid and rejected events, observed while writing; the file count is left to the file rows."""
+    log, _ = _observed(spark, sf_dir)
+    return log.drop("files")
+
+
+@query("observed_run_files")
+def observed_run_files(spark, sf_dir):
+    """One row per file that the observed write of the events left, with its kind."""
+    _, files = _observed(spark, sf_dir)
+    return files
+
+
 @query(
     "staged_build",
     f"""WITH {contests_sql("league")}

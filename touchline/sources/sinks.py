@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -183,3 +183,42 @@ def _stored_months(spark: SparkSession, path: str, schema: T.StructType, months:
 def read_months(spark: SparkSession, path: str, schema: T.StructType = CANONICAL) -> DataFrame:
     """The merged table; ``month`` stays available for pruning."""
     return _stored_months(spark, path, schema)
+
+
+RUN_FILES = "run_id string, kind string, file string"
+
+
+def write_observed(
+    df: DataFrame, path: str, valid: Column, amount: str, stamp: str, run_id: str
+) -> tuple[DataFrame, DataFrame]:
+    """Write valid and rejected rows in one pass, below ``kind=valid`` and ``kind=rejected``.
+
+    Returns (log, files). The log row (run_id, valid_rows, rejected_rows,
+    new_rows = sum of floor(``amount``) over valid rows, finished_at = latest
+    ``stamp``, files) takes its counts from metrics that the write itself
+    observed, so nothing is scanned twice. ``files`` has one row per written
+    Parquet file (run_id, kind, file), from a listing that reads no contents.
+    A null ``valid`` counts as rejected; an empty input gives zero counts.
+    """
+    spark = df.sparkSession
+    kind = F.when(F.coalesce(valid, F.lit(False)), F.lit("valid")).otherwise(F.lit("rejected"))
+    good = F.col("kind") == "valid"
+    watch = Observation(f"run-{uuid.uuid4().hex}")
+    flagged = df.withColumn("kind", kind).observe(
+        watch,
+        F.count_if(good).alias("valid_rows"),
+        F.count_if(~good).alias("rejected_rows"),
+        F.sum(F.when(good, F.floor(amount))).cast("bigint").alias("new_rows"),
+        F.max(stamp).alias("finished_at"),
+    )
+    flagged.write.partitionBy("kind").parquet(path)
+    seen = watch.get
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    files = listing.select(
+        F.lit(run_id).alias("run_id"), F.regexp_extract("path", r"/kind=([^/]+)/", 1).alias("kind"), F.col("path").alias("file")
+    )
+    log = spark.createDataFrame(
+        [(run_id, seen.get("valid_rows", 0), seen.get("rejected_rows", 0), seen.get("new_rows"), seen.get("finished_at"))],
+        f"run_id string, valid_rows bigint, rejected_rows bigint, new_rows bigint, finished_at {df.schema[stamp].simpleString().split(':')[-1]}",
+    )
+    return log.withColumn("files", F.lit(files.count()).cast("bigint")), files
