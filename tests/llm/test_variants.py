@@ -82,16 +82,17 @@ def test_equals_brute_force(spark, monkeypatch, cell_words):
 
 
 def test_kd_search_equals_all_pairs():
-    rng = np.random.default_rng(3)
-    points = rng.integers(0, 3, size=(3000, 6)).astype(np.int16)
-    queries = rng.integers(0, 3, size=(500, 6)).astype(np.int16)
-    downs = rng.integers(0, 2, size=500).astype(np.int8)
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("aabcdeé") for _ in range(n))
+    points = variants._vectors([word(8) for _ in range(3000)])
+    asked = [word(8) for _ in range(300)] + [word(7) for _ in range(300)]
+    queries, downs = variants._vectors(asked), np.array([1] * 300 + [0] * 300, dtype=np.int8)
 
     def fits(q, p):
         gap = points[p] - queries[q]
         return np.abs(gap).max() <= 1 and (gap == 1).sum() <= 1 and (gap == -1).sum() <= downs[q]
 
-    want = {(q, p) for q in range(500) for p in range(3000) if fits(q, p)}
+    want = {(q, p) for q in range(600) for p in range(3000) if fits(q, p)}
     assert set(variants.kd_search(points, queries, downs)) == want and len(want) > 100
 
 

@@ -141,12 +141,17 @@ def one_edit(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
 
 
+_DIMENSION = np.full(0x100, -1, dtype=np.int64)
+_DIMENSION[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
+
+
 def _vectors(words: list[str]) -> np.ndarray:
-    place = {c: i for i, c in enumerate(ALPHABET)}
+    """Letter counts, one row per word (all letters lie below U+0100)."""
     out = np.zeros((len(words), len(ALPHABET)), dtype=np.int16)  # counts of very long words exceed a byte
-    for row, word in enumerate(words):
-        for c in word:
-            out[row, place[c]] += 1
+    if words:
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+        np.add.at(out, (np.repeat(np.arange(len(words)), lengths), _DIMENSION[codes]), 1)
     return out
 
 
@@ -154,6 +159,9 @@ def kd_search(points: np.ndarray, queries: np.ndarray, downs: np.ndarray) -> lis
     """Pairs (query, point) where the point has at most one count one higher and at most ``downs`` (0 or 1)
     counts one lower than the query, all others equal: what one edit can do. Found by a k-d tree.
 
+    Points of one cell have one length and queries that length (``downs`` 1)
+    or one less (``downs`` 0); then L1 <= 1 + downs already says all that.
+
     Each node splits on its widest dimension at the median; all queries walk
     the tree together and enter the other child only where one more (or one
     fewer) of that letter takes them there and such a step is left. Leaves
@@ -171,10 +179,8 @@ def kd_search(points: np.ndarray, queries: np.ndarray, downs: np.ndarray) -> lis
         if len(members) <= LEAF_POINTS or spread.max() == 0:
             for lo in range(0, len(asking), LEAF_QUERIES):
                 chunk = asking[lo : lo + LEAF_QUERIES]
-                gap = box[None, :, :] - queries[chunk][:, None, :]
-                fits = (gap.max(axis=2) <= 1) & (gap.min(axis=2) >= -1) & ((gap == 1).sum(axis=2) <= 1)
-                fits &= (gap == -1).sum(axis=2) <= downs[chunk][:, None]
-                qi, pi = np.nonzero(fits)
+                far = np.abs(box[None, :, :] - queries[chunk][:, None, :]).sum(axis=2)
+                qi, pi = np.nonzero(far <= 1 + downs[chunk][:, None])
                 found.extend(zip(chunk[qi].tolist(), members[pi].tolist(), strict=True))
             continue
         dim = int(spread.argmax())
@@ -202,7 +208,9 @@ def _leaf_pairs(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"word": pd.Series(dtype=str), "near": pd.Series(dtype=str)})
     queries = queries.drop_duplicates("query")
     words, asked = points["word"].tolist(), queries["query"].tolist()
-    pairs = kd_search(_vectors(words), _vectors(asked), queries["delete"].to_numpy(dtype=np.int8))
+    points_at, asked_at = _vectors(words), _vectors(asked)
+    used = points_at.any(axis=0) | asked_at.any(axis=0)  # letters absent from the whole cell change no distance
+    pairs = kd_search(points_at[:, used], asked_at[:, used], queries["delete"].to_numpy(dtype=np.int8))
     kept = [(asked[q], words[p]) for q, p in pairs if one_edit(asked[q], words[p])]
     return pd.DataFrame(kept, columns=["word", "near"], dtype=str)
 
