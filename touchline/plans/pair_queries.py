@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.operators import pairs
+from touchline.operators import pairs, patterns
 from touchline.plans.registry import day_sql, query
-from touchline.plans.tables import ENTITY, contests, contests_sql, entity_sql
+from touchline.plans.tables import ENTITY, contests, contests_sql, entity_sql, table
 
 _SIDES = ("home_team", "away_team")
 _RESULTS = """count(*) AS games,
@@ -138,3 +138,34 @@ def outcome_class(spark, sf_dir):
 def result_label(spark, sf_dir):
     games = contests(spark, sf_dir, "league")
     return games.select("l_orderkey", "l_linenumber", pairs.result_label(status="league").alias("label"))
+
+
+_MATCH_SIDES = {
+    "entity_team": ("home_team", "away_team"), "opponent": ("away_team", "home_team"),
+    "entity_score": ("home_score", "away_score"), "opponent_score": ("away_score", "home_score"),
+}
+
+
+@query(
+    "entity_matches",
+    f"""WITH {contests_sql("home_team", "away_team", "league")},
+    pats AS (SELECT DISTINCT unnest(string_split(n_name, ' ')) AS pattern FROM nation),
+    m AS (SELECT p.pattern, c.*, coalesce(contains(c.home_team, p.pattern), false) AS at_home FROM contests c JOIN pats p
+          ON contains(c.home_team, p.pattern) OR contains(c.away_team, p.pattern) WHERE p.pattern <> '')
+    SELECT pattern, l_orderkey, l_linenumber, {day_sql("game_date")} AS game_date,
+           {", ".join(f"CASE WHEN at_home THEN {h} ELSE {a} END AS {n}" for n, (h, a) in _MATCH_SIDES.items())},
+           league, CASE WHEN at_home THEN 'home' ELSE 'away' END AS venue FROM m""",
+)
+def entity_matches(spark, sf_dir):
+    """Every game of every team whose name holds a word of a nation's name, matched through an n-gram index."""
+    games = contests(spark, sf_dir, "home_team", "away_team", "league")
+    names = games.select(F.col("home_team").alias("name")).union(games.select(F.col("away_team").alias("name"))).distinct()
+    words = table(spark, sf_dir, "nation").select(F.explode(F.split("n_name", " ")).alias("pattern")).distinct()
+    found = patterns.matches(names, "name", "name", words, "pattern", "pattern")
+    home = games.join(found.withColumnRenamed("name", "home_team"), "home_team").withColumn("at_home", F.lit(True))
+    away = games.join(found.withColumnRenamed("name", "away_team"), "away_team")
+    away = away.join(found.select(F.col("name").alias("home_team"), "pattern"), ["home_team", "pattern"], "left_anti")
+    both = home.unionByName(away.withColumn("at_home", F.lit(False)))
+    sides = [F.when(F.col("at_home"), F.col(h)).otherwise(F.col(a)).alias(n) for n, (h, a) in _MATCH_SIDES.items()]
+    venue = F.when(F.col("at_home"), F.lit("home")).otherwise(F.lit("away")).alias("venue")
+    return both.select("pattern", "l_orderkey", "l_linenumber", "game_date", *sides, "league", venue)
