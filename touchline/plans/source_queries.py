@@ -283,17 +283,20 @@ def dry_run_counts(spark, sf_dir):
 
 @query(
     "day_metadata",
-    f"""WITH d AS (SELECT CAST(unnest(generate_series(min(l_shipdate), max(l_shipdate), INTERVAL 1 DAY)) AS DATE) AS date
-                   FROM lineitem),
-    n AS (SELECT CAST(l_shipdate AS DATE) AS date, count(*) AS n FROM lineitem WHERE day(l_shipdate) % 6 <> 0 GROUP BY 1)
+    f"""WITH d AS (SELECT CAST(unnest(generate_series((SELECT min(o_orderdate) FROM orders), max(l_shipdate), INTERVAL 1 DAY))
+                   AS DATE) AS date FROM lineitem),
+    n AS (SELECT CAST(l_shipdate AS DATE) AS date, count(*) AS n FROM lineitem GROUP BY 1)
     SELECT {day_sql("d.date")} AS date, coalesce(n, 0) AS games_count, '{RUN_TS}.000000' AS scraped_timestamp
     FROM d LEFT JOIN n ON d.date = n.date""",
 )
 def day_metadata(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    span = lines.agg(F.to_date(F.min("l_shipdate")).alias("a"), F.to_date(F.max("l_shipdate")).alias("b"))
+    # The calendar starts with the first order, before the first shipment, so the days without games are real ones.
+    none = F.lit(None).cast("date")
+    placed = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("a"), none.alias("b"))
+    span = placed.unionByName(lines.select(none.alias("a"), F.to_date("l_shipdate").alias("b"))).agg(F.min("a").alias("a"), F.max("b").alias("b"))
     days = span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("date"))
-    played = lines.where(F.dayofmonth("l_shipdate") % 6 != 0).select(F.to_date("l_shipdate").alias("date"))
+    played = lines.select(F.to_date("l_shipdate").alias("date"))
     return sinks.day_metadata(played, days, RUN_TS)
 
 
