@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions import fixed_values as fixed
-from touchline.operators import profile, stats
+from touchline.operators import month_profile, profile, stats
 from touchline.plans.registry import day_sql, query
 from touchline.plans.tables import contests, contests_sql, table
+from touchline.sources.scratch import staged
 
 _ALL = ("home_team", "away_team", "league", "venue")
 
@@ -418,3 +419,38 @@ def filter_date_prefix(spark, sf_dir):
 def filter_score_gt(spark, sf_dir):
     games = contests(spark, sf_dir).where(F.col("home_score") > 5)
     return games.orderBy("game_date", "l_orderkey", "l_linenumber", "home_score", "away_score").limit(5)
+
+
+_MONTH_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+_MONTH_TEXT = ("l_returnflag", "l_linestatus")
+_NO_TEXT = "NULL::BIGINT AS \"unique\", NULL::VARCHAR AS top, NULL::BIGINT AS freq"
+_NO_NUMBERS = ", ".join(f"NULL::DOUBLE AS {c}" for c in ("mean", "std", "min", "max"))
+
+
+@query(
+    "profile_months",
+    " UNION ALL ".join(
+        [
+            f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS missing, count({c}) AS count, "
+            f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, "
+            f"CAST(max({c}) AS DOUBLE) AS max, {_NO_TEXT} FROM lineitem"
+            for c in _MONTH_NUMERIC
+        ]
+        + [
+            f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS missing, count({c}) AS count, {_NO_NUMBERS}, "
+            f"count(DISTINCT {c}) AS \"unique\", "
+            f"(SELECT {c} FROM lineitem WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1) AS top, "
+            f"(SELECT count(*) FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1) AS freq FROM lineitem"
+            for c in _MONTH_TEXT
+        ]
+    ),
+)
+def profile_months(spark, sf_dir):
+    """Profiles of lineitem merged from stored partials per shipping month, all rows read."""
+    lines = table(spark, sf_dir, "lineitem")
+    month = F.date_format("l_shipdate", "yyyy-MM")
+    moments, values = month_profile.month_partials(lines, month, list(_MONTH_NUMERIC), list(_MONTH_TEXT))
+    merged = month_profile.merge(staged(moments, "moments"), staged(values, "values"))
+    return merged.select(
+        "column", "rows", "missing", "count", *[F.round(c, 4).alias(c) for c in ("mean", "std")], "min", "max", "unique", "top", "freq"
+    )
