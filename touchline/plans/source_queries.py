@@ -356,10 +356,10 @@ def run_log(spark, sf_dir):
 _VALID_SQL = "coalesce(event_type <> 'error', false)"
 
 
-def _observed(spark, sf_dir):
+def _observed(spark, sf_dir, path=None):
     events = table(spark, sf_dir, "events")
     valid = F.col("event_type") != "error"
-    return sinks.write_observed(events, scratch_dir(spark, "observed"), valid, "value", "ts", "events")
+    return sinks.write_observed(events, path or scratch_dir(spark, "observed"), valid, "value", "ts", "events")
 
 
 @query(
@@ -375,11 +375,18 @@ def observed_run_log(spark, sf_dir):
     return log.drop("files")
 
 
-@query("observed_run_files")
+@query(
+    "observed_run_files",
+    f"""SELECT CASE WHEN {_VALID_SQL} THEN 'valid' ELSE 'rejected' END AS kind, count(*) AS rows
+    FROM events GROUP BY 1""",
+)
 def observed_run_files(spark, sf_dir):
-    """One row per file that the observed write of the events left, with its kind."""
-    _, files = _observed(spark, sf_dir)
-    return files
+    """Rows read back, per kind, from exactly the files that the listing of the observed write names."""
+    path = scratch_dir(spark, "observed")
+    _, files = _observed(spark, sf_dir, path)
+    written = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"))
+    back = written.join(files, "file")
+    return back.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query(
