@@ -197,8 +197,8 @@ def rebuild(text, spans):
     return "".join([*out, text[at:]])
 
 
-def brute_repeats(texts, least, line_least):
-    """Word ranges that repeat, from all runs of units of all texts, with plain loops."""
+def brute_repeats(texts, least, line_least, window):
+    """Word ranges that repeat, from all runs of units and all windows of ``window`` words of all texts, with plain loops."""
     word = re.compile(r"[^\x20\x09-\x0D]+")
     runs = {}
     for key, text in sorted(texts.items()):
@@ -209,6 +209,7 @@ def brute_repeats(texts, least, line_least):
         starts = [i for i in range(len(words)) if unit[i]] + [len(words)]
         lines = [i for i in range(len(words)) if line[i]] + [len(words)]
         spans = {(a, b) for a, b in zip(lines, lines[1:]) if b - a >= line_least}
+        spans |= {(a, a + window) for a in range(len(words) - window + 1)}
         for n in range(len(starts) - 1):
             left = next((starts[m] for m in range(n, -1, -1) if starts[n + 1] - starts[m] >= least), None)
             right = next((starts[m] for m in range(n + 1, len(starts)) if starts[m] - starts[n] >= least), None)
@@ -226,7 +227,7 @@ def brute_repeats(texts, least, line_least):
 
 def test_op3_equals_brute_force(spark):
     texts = texts_of(spark)
-    gone = brute_repeats(texts, unit_dedup.MIN_WORDS, unit_dedup.LINE_WORDS)
+    gone = brute_repeats(texts, unit_dedup.MIN_WORDS, unit_dedup.LINE_WORDS, unit_dedup.WINDOW)
     rows = catalog.QUERIES["op3_unit_dedup"](spark, SF).collect()
     assert len(rows) == len(texts)
     for row in rows:
