@@ -68,9 +68,22 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
+ARROW_ROWS = "1000"
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is stored before the next stage reads it."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    """All stages over ``documents``; each result is stored before the next stage reads it.
+
+    While the stages run, Arrow batches to Python hold at most ``ARROW_ROWS``
+    rows, so a batch of long documents stays small in every Python worker; the
+    setting before is restored afterwards.
+    """
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    try:
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in STAGES:
+            docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     return docs
