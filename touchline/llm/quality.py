@@ -102,6 +102,21 @@ class Model:
         return np.diff(edges, axis=1) @ np.array(self.grades, float), 1 - edges[:, -2]
 
 
+def _cells(body: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Summed features per (text, place), from slices of ``_BATCH_ROWS`` texts, so raw features of one slice are held at a time.
+
+    Rows rise from slice to slice, so the joined cells are in the same order as from all texts at once.
+    """
+    cells, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for at in range(0, len(body), _BATCH_ROWS):
+        rows, places, found = features(pa.array(body[at : at + _BATCH_ROWS], pa.string()))
+        own, place = np.unique((rows + at) * SIZE + places, return_inverse=True)
+        cells.append(own)
+        values.append(np.bincount(place, found, len(own)))
+    joined = np.concatenate(cells)
+    return joined // SIZE, joined % SIZE, np.concatenate(values)
+
+
 def fit(texts: dict[int, list[str]], counts: dict[int, int], steps: int = STEPS) -> Model:
     """Model from rated texts. A single grade, or none, gives a model that rates every text so."""
     grades = tuple(sorted(g for g, t in texts.items() if t))
@@ -112,10 +127,7 @@ def fit(texts: dict[int, list[str]], counts: dict[int, int], steps: int = STEPS)
     # Each grade weighs as much as it has rated rows.
     total = sum(counts[g] for g in grades)
     each = np.array([counts[g] / total / len(texts[g]) for g in grades])[y]
-    rows, places, values = features(pa.array(body, pa.string()))
-    cells, place = np.unique(rows * SIZE + places, return_inverse=True)
-    values = np.bincount(place, values)
-    rows, places = cells // SIZE, cells % SIZE
+    rows, places, values = _cells(body)
     used, column = np.unique(places, return_inverse=True)
     below = np.cumsum([counts[g] for g in grades])[:-1] / total
     first = np.log(below / (1 - below))
