@@ -1,7 +1,8 @@
 """Stored schedule pages to rows.
 
-One ``mapInArrow`` pass reads each page once, token by token, and emits the
-cells of its table rows (no element tree is built); choosing columns from the cells is left to Spark expressions. Pages are
+One ``mapInArrow`` pass reads many pages at once as arrays of tokens (``page_batch``); pages that are not well nested, and the
+day-event layout, are read token by token (``page_scan``). It emits the
+cells of the table rows (no element tree is built); choosing columns from the cells is left to Spark expressions. Pages are
 independent of each other, so nothing is shuffled.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions import fixed_values as fixed
-from touchline.functions import page_scan, text
+from touchline.functions import page_batch, page_scan, text
 
 _CELL = pa.struct([("label", pa.string()), ("text", pa.string())])
 _CELLS = T.ArrayType(
@@ -40,33 +41,37 @@ def table_rows(pages: DataFrame, layout: str, html: str = "html") -> DataFrame:
         ]
     )
 
+    names = [*keys, "row_no", "marked", "cells"]
+
+    def made(part: pa.RecordBatch, origin, numbers, marks, ends, labels, texts) -> pa.RecordBatch:
+        cells = pa.StructArray.from_arrays([labels, texts], fields=list(_CELL))
+        taken = [part.column(k).take(pa.array(origin, pa.int64())) for k in keys]
+        found = [pa.array(numbers, pa.int64()), pa.array(marks, pa.bool_()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cells)]
+        return pa.RecordBatch.from_arrays([*taken, *found], names=names)
+
+    def scanned(part: pa.RecordBatch, chosen: list[int]) -> pa.RecordBatch:
+        rows_of, texts_of = page_scan.LAYOUTS[layout], part.column(html)
+        origin, numbers, marks, ends, labels, texts = [], [], [], [0], [], []
+        for index in chosen:
+            for number, mark, found in rows_of(texts_of[index].as_py() or ""):
+                origin.append(index)
+                numbers.append(number)
+                marks.append(mark)
+                labels += [label for label, _ in found]
+                texts += [content for _, content in found]
+                ends.append(len(texts))
+        return made(part, origin, numbers, marks, ends, pa.array(labels, pa.string()), pa.array(texts, pa.string()))
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows_of = page_scan.LAYOUTS[layout]
         for batch in batches:
-            for start in range(0, batch.num_rows, _PAGES_AT_A_TIME):
-                part = batch.slice(start, _PAGES_AT_A_TIME)
-                origin, numbers, marks, ends, labels, texts = [], [], [], [0], [], []
-                for index, page in enumerate(part.column(html).to_pylist()):
-                    for number, mark, found in rows_of(page or ""):
-                        origin.append(index)
-                        numbers.append(number)
-                        marks.append(mark)
-                        labels += [label for label, _ in found]
-                        texts += [content for _, content in found]
-                        ends.append(len(texts))
-                cells = pa.StructArray.from_arrays(
-                    [pa.array(labels, pa.string()), pa.array(texts, pa.string())], fields=list(_CELL)
-                )
-                taken = [part.column(k).take(pa.array(origin, pa.int64())) for k in keys]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *taken,
-                        pa.array(numbers, pa.int64()),
-                        pa.array(marks, pa.bool_()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cells),
-                    ],
-                    names=[*keys, "row_no", "marked", "cells"],
-                )
+            for start, count in page_batch.parts(batch.column(html)):
+                part = batch.slice(start, count)
+                chosen = list(range(count))
+                if layout in page_batch.LAYOUTS:
+                    *found, chosen = page_batch.rows(part.column(html), layout)
+                    yield made(part, *found)
+                for first in range(0, len(chosen), _PAGES_AT_A_TIME):
+                    yield scanned(part, [int(i) for i in chosen[first : first + _PAGES_AT_A_TIME]])
 
     return pages.select(*keys, html).mapInArrow(extract, schema)
 
