@@ -184,8 +184,9 @@ def grid_games(rows: DataFrame, league: Column | None = None) -> DataFrame:
     keys = [c for c in rows.columns if c not in ("marked", "cells")]
     stamp = text.grid_stamp(_cell(0), _cell(1))
     return (
+        # A one-row inline, so that the filter does not make the stamp be read twice.
         rows.where(F.size("cells") >= width)
-        .withColumn("_at", stamp)
+        .select(*keys, "cells", F.inline(F.array(F.struct(stamp.alias("_at")))))
         .where(F.col("_at").isNotNull())
         .select(
             *keys,
