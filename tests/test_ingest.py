@@ -144,3 +144,28 @@ def test_day_files_of_every_shape(spark):
     assert [(r.source_date, r.year, r.month, r.day) for r in gated] == [("2024-03-02", 2024, 3, 2)]
     stats = ingest.conversion_stats(parsed).first()
     assert (stats.total_files, stats.converted_files, stats.total_games, stats.errors) == (6, 3, 3, 1)
+
+
+@pytest.mark.parametrize("name", ["valid_rows", "quarantine_rows"])
+def test_generated_code_stays_small_and_rows_are_dealt_out(spark, name):
+    """The JVM never compiles methods above 8,000 bytes; one partition of the feed would leave cores idle."""
+    from touchline.plans import catalog
+
+    rows = catalog.QUERIES[name](spark, "/root/testdata/sf0.01")
+    assert rows.groupBy(F.spark_partition_id()).count().count() > 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = rows.select("*")
+        stages = plan._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [int(stages.apply(i)._3().toString().split("(")[1].split(",")[0]) for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) < 8000
+
+
+def test_keys_of_flat_records_may_be_escaped(spark):
+    """A record is read for its keys wherever its text might hold them, also with escapes."""
+    escaped = json.dumps(FLAT).replace("league_name", "league\\u005fname")
+    inside = json.dumps({**NESTED, "type": "league_name game_date"})
+    good, bad = run(spark, escaped, inside)
+    assert not bad and [(r["home_team"], r["type"]) for r in good] == [("Rovers", "cup"), ("Rovers", "league_name game_date")]

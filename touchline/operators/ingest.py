@@ -31,7 +31,10 @@ def parse_records(raw: DataFrame, content: str = "content") -> DataFrame:
     """
     record = F.from_json(F.col(content), f"{RAW_RECORD_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
     keys = F.json_object_keys(content)
-    flat = F.array_contains(keys, "league_name") & F.array_contains(keys, "game_date")
+    # Text without the names has no such keys, unless a name is escaped; only other text is read for its keys.
+    named = F.contains(F.col(content), F.lit("league_name")) & F.contains(F.col(content), F.lit("game_date"))
+    named |= F.contains(F.col(content), F.lit("\\"))
+    flat = F.when(named, F.array_contains(keys, "league_name") & F.array_contains(keys, "game_date"))
     others = [c for c in raw.columns if c != content]
     names = [f"_{n}" for n in _names(RAW_RECORD_DDL)]
     parsed = raw.select(*others, F.coalesce(flat, F.lit(False)).alias("_flat"), F.inline(F.array(record)).alias(*names, _CORRUPT))
@@ -60,7 +63,9 @@ def explode_games(parsed: DataFrame) -> DataFrame:
     many = F.filter(F.from_json("_games", "array<string>"), lambda e: e.isNotNull())
     listed = F.when(F.col("shape") == "nested", F.when(body.startswith("["), many).otherwise(F.array("_games")))
     rows = fields.select("*", F.posexplode_outer(listed).alias("_pos", "_game"))
-    rows = rows.withColumn("g", F.when(F.ltrim("_game").startswith("{"), F.from_json("_game", GAME_DDL)))
+    # A one-row inline here too: filters on the shape would read every game twice.
+    read = F.when(F.ltrim("_game").startswith("{"), F.from_json("_game", GAME_DDL))
+    rows = rows.select("*", F.inline(F.array(F.struct(read.alias("g")))))
     nothing = F.col("_pos").isNull() & body.startswith("[") & body.endswith("]")
     nested = F.when(F.coalesce(nothing, F.lit(False)), "empty").when(F.col("g").isNull(), "unparsable").otherwise("nested")
     rows = rows.withColumn("shape", F.when(F.col("shape") == "nested", nested).otherwise(F.col("shape")))
