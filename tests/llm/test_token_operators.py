@@ -181,3 +181,15 @@ def test_pieces_of_odd_rows(odd_docs):
         own = sorted((p["piece"], bytes(p["ids"])) for p in pieces if p["doc_id"] == row["doc_id"])
         assert np.frombuffer(b"".join(x for _, x in own), "<u4").tolist() == [*ids_of(tokenizer, row["text"]), 0]
         assert all(len(x) == 64 for _, x in own[1:])
+
+
+@pytest.mark.parametrize("leaf", [7, 100_000])
+def test_encode_with_decoded_texts_needs_no_second_pass(odd_docs, leaf):
+    """The same rows as both operators one after the other, and no Python worker above the union of short and long texts."""
+    both = bpe.encode(odd_docs, WORD, leaf=leaf, decoded="decoded")
+    apart = bpe.decode(bpe.encode(odd_docs, WORD, leaf=leaf), WORD)
+    columns = ["doc_id", "text", "ids", "decoded"]
+    as_rows = lambda df: sorted(map(str, df.select(*columns).collect()))
+    assert both.columns == apart.columns and as_rows(both) == as_rows(apart)
+    plan = bpe.digests(odd_docs, WORD)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan[: plan.index("Union")]

@@ -28,6 +28,7 @@ from touchline.llm.tokens import encoder_for, library_tokenizer, read_definition
 
 LEAF_CHARS = 16_384
 _KEY = "__llm_text_key"
+_CODED = "__llm_coded"
 # A cut before this space is one that no white space, mark or joined letter reaches across.
 _CUT = re.compile(r"(?<=[^\s]) (?=[^\W_])")
 _PLAIN, _INNER, _LAST = 0, 1, 2  # a run of words; a fragment inside a piece; the last fragment of a piece
@@ -195,13 +196,25 @@ def _id_lists(offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.astype(np.int32)))
 
 
-def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", leaf: int = LEAF_CHARS) -> DataFrame:
+def _decoded(lists: pa.Array, definition: str) -> pa.Array:
+    tokenizer, texts = encoder_for(definition).tokenizer, []
+    for at in range(0, len(lists), _DECODED_ROWS):
+        rows = [[] if x is None else x.tolist() for x in lists.slice(at, _DECODED_ROWS).to_numpy(zero_copy_only=False)]
+        texts += tokenizer.decode_batch(rows, skip_special_tokens=False)
+    return pa.array(texts, pa.string())
+
+
+def encode(
+    df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", leaf: int = LEAF_CHARS, decoded: str | None = None
+) -> DataFrame:
     """``df`` with the token ids of ``text`` as an int array in the column ``ids``.
 
     Equal to the library's ``encode(text, add_special_tokens=False)``. A null
     text counts as empty and gets no ids; so does the empty text. Rows may
     repeat, and all other columns stay as they are; a column of the name
-    ``ids`` is replaced. An empty table gives an empty table.
+    ``ids`` is replaced. An empty table gives an empty table. With ``decoded``
+    the ids are decoded as well, into a column of that name; a text that is one
+    leaf is then encoded and decoded by the same worker, with one tokenizer.
     """
     definition = df.sparkSession.sparkContext.broadcast(read_definition(tokenizer_path))
     body = F.coalesce(F.col(text), F.lit(""))
@@ -211,9 +224,17 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
     def whole(texts: pa.Array) -> pa.Array:
         return _id_lists(*encoder_for(definition.value).encode(texts))
 
-    short = df.where(F.length(body) <= leaf).withColumn(ids, whole(body))
-    long = df.where(F.length(body) > leaf).withColumn(_KEY, F.sha2(body, 256))
-    return short.unionByName(long.join(_long_ids(long, text, ids, definition, leaf), _KEY).drop(_KEY))
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        lists = _id_lists(*encoder_for(definition.value).encode(texts))
+        return pa.StructArray.from_arrays([lists, _decoded(lists, definition.value)], ["ids", "decoded"])
+
+    short, long = df.where(F.length(body) <= leaf), df.where(F.length(body) > leaf).withColumn(_KEY, F.sha2(body, 256))
+    long = long.join(_long_ids(long, text, ids, definition, leaf), _KEY).drop(_KEY)
+    if decoded is None:
+        return short.withColumn(ids, whole(body)).unionByName(long)
+    coded = short.withColumn(_CODED, both(body)).withColumns({ids: F.col(f"{_CODED}.ids"), decoded: F.col(f"{_CODED}.decoded")})
+    return coded.drop(_CODED).unionByName(decode(long, tokenizer_path, ids, decoded))
 
 
 def _long_ids(long: DataFrame, text: str, ids: str, definition, leaf: int) -> DataFrame:
@@ -261,18 +282,14 @@ def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "de
 
     @F.arrow_udf("string")
     def whole(lists: pa.Array) -> pa.Array:
-        tokenizer, texts = encoder_for(definition.value).tokenizer, []
-        for at in range(0, len(lists), _DECODED_ROWS):
-            rows = [[] if x is None else x.tolist() for x in lists.slice(at, _DECODED_ROWS).to_numpy(zero_copy_only=False)]
-            texts += tokenizer.decode_batch(rows, skip_special_tokens=False)
-        return pa.array(texts, pa.string())
+        return _decoded(lists, definition.value)
 
     return df.withColumn(text, whole(F.col(ids)))
 
 
 def digests(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", leaf: int = LEAF_CHARS) -> DataFrame:
     """Per row of ``key``: number of ids, and SHA-256 of the ids in decimal and of the decoded text."""
-    coded = decode(encode(df.select(key, text), tokenizer_path, text, "ids", leaf).drop(text), tokenizer_path)
+    coded = encode(df.select(key, text), tokenizer_path, text, "ids", leaf, "decoded").drop(text)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select(
         key,
