@@ -209,6 +209,7 @@ def _spans(docs: DataFrame, min_words: int, line_words: int) -> DataFrame:
     found = staged(_repeated(docs.mapInArrow(index, _RUN)), "repeated")
     places = found.where("anchor").groupBy("doc").agg(F.collect_set(F.shiftright("span", 32)).alias("places"))
     windows = _repeated(docs.join(places, "doc").select("doc", "body", "places").mapInArrow(compare, _RUN))
+    windows = staged(windows, "windows")  # frees the shuffle of all windows before the texts are read again
     return found.where("not anchor").unionByName(windows).select("doc", "span")
 
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_root: str | None = None
 
 
@@ -30,8 +31,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage and survives lost executors, because the files outlive
-    the tasks that wrote them.
+    the tasks that wrote them. The shuffle files of the write go when it ends,
+    since nothing reads them again.
     """
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
