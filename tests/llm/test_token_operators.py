@@ -193,3 +193,71 @@ def test_encode_with_decoded_texts_needs_no_second_pass(odd_docs, leaf):
     assert both.columns == apart.columns and as_rows(both) == as_rows(apart)
     plan = bpe.digests(odd_docs, WORD)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" not in plan[: plan.index("Union")]
+
+
+def test_runs_of_words_need_no_fragment_models(monkeypatch):
+    monkeypatch.setattr(bpe, "_MODELS", {})
+    definition, text = read_definition(WORD), "some words, and more of them " * 40
+    leaves = list(bpe.leaves_of(text, definition, 64))
+    coded = [(*leaf, ids) for leaf, ids in zip(leaves, bpe.encode_leaves(leaves, definition), strict=True)]
+    assert bpe.join_leaves(coded, definition).tolist() == ids_of(library(WORD), text)
+    assert len(leaves) > 1 and not bpe._MODELS
+
+
+def test_decoding_goes_by_ids_and_not_by_rows(monkeypatch):
+    import pyarrow as pa
+
+    class Spy:
+        calls = []
+
+        def decode_batch(self, rows, skip_special_tokens):
+            self.calls.append(sum(map(len, rows)))
+            return tokenizer.decode_batch(rows, skip_special_tokens=skip_special_tokens)
+
+    tokenizer, spy = library(WORD), Spy()
+    monkeypatch.setattr(bpe, "encoder_for", lambda definition: type("E", (), {"tokenizer": spy}))
+    rows = [ids_of(tokenizer, "long text of many words " * 4000), None, [], *[ids_of(tokenizer, f"word {i}") for i in range(300)]] * 5
+    got = bpe._decoded(pa.array(rows, pa.list_(pa.int32())), "").to_pylist()
+    assert got == [tokenizer.decode(x or [], skip_special_tokens=False) for x in rows]
+    assert max(spy.calls) <= max(len(rows[0]), 1 << 16) and len(spy.calls) > 1
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_words_are_encoded_without_offsets(path, monkeypatch):
+    import pyarrow as pa
+
+    from touchline.llm import tokens
+
+    class Fast:  # ``encode`` also works out offsets, which nobody reads
+        encode_batch_fast = staticmethod(library(path).encode_batch_fast)
+
+    monkeypatch.setattr(tokens, "_DIRECT_BYTES", 0)
+    encoder, texts = tokens.WordEncoder(read_definition(path)), ["one two, three\nfour's", "five", None, "two 2 x."]
+    encoder.tokenizer = Fast()
+    offsets, ids = encoder.encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [ids_of(library(path), t) for t in texts]
+
+
+def test_a_stage_alone_gets_short_batches(spark):
+    import corpus_pipeline
+    import pyarrow as pa
+    from touchline.llm.common import ARROW_ROWS
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    _name, stage = corpus_pipeline.stored("sizes", lambda _spark, docs, _dir: docs.mapInArrow(sizes, "n long"))
+    rows = [r[0] for r in stage(spark, spark.range(0, 3500, 1, 1), SF).collect()]
+    assert sum(rows) == 3500 and max(rows) <= ARROW_ROWS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_digests_shuffle_long_texts_twice_and_no_ids_after(odd_docs):
+    plan = bpe.digests(odd_docs, WORD, leaf=7)._jdf.queryExecution().optimizedPlan().toString()
+    after = plan[plan.index("Join") : plan.index("FlatMapGroupsInArrow")]
+    assert "sha2" in after  # the join gets digests
+    assert plan.count("RepartitionByExpression") == 1 and "first(text" not in plan
+    rows = {str(r) for r in bpe.digests(odd_docs, WORD, leaf=7).collect()}
+    assert rows == {str(r) for r in bpe.digests(odd_docs, WORD, leaf=1 << 20).collect()}

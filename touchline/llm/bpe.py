@@ -20,11 +20,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import shuffle_width
-from touchline.llm.tokens import encoder_for, library_tokenizer, read_definition
+from touchline.llm.tokens import encoder_for, read_definition
 
 LEAF_CHARS = 16_384
 _KEY = "__llm_text_key"
@@ -33,7 +34,7 @@ _CODED = "__llm_coded"
 _CUT = re.compile(r"(?<=[^\s]) (?=[^\W_])")
 _PLAIN, _INNER, _LAST = 0, 1, 2  # a run of words; a fragment inside a piece; the last fragment of a piece
 _LEAF_SCHEMA = f"{_KEY} string, leaf int, kind int, content string"
-_DECODED_ROWS = 256
+_DECODED_IDS = 1 << 16
 _MODELS: dict[str, tuple] = {}
 
 
@@ -60,18 +61,18 @@ def halves(text: str, leaf: int) -> list[str]:
 
 
 def model_of(definition: str):
-    """``(tokenizer, model without word ends, model)`` of a definition, one per worker process."""
+    """``(model without word ends, model, suffix)`` of a definition, one per worker process that meets fragments."""
     if definition not in _MODELS:
         from tokenizers import Tokenizer, models
 
         parts = json.loads(definition)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parts["model"]["merges"]]
         suffix = parts["model"].get("end_of_word_suffix") or None
-        inner = Tokenizer(models.BPE(vocab=parts["model"]["vocab"], merges=merges))
-        ends = {"end_of_word_suffix": suffix} if suffix else {}
-        final = Tokenizer(models.BPE(vocab=parts["model"]["vocab"], merges=merges, **ends))
+        inner = final = Tokenizer(models.BPE(vocab=parts["model"]["vocab"], merges=merges))
+        if suffix:
+            final = Tokenizer(models.BPE(vocab=parts["model"]["vocab"], merges=merges, end_of_word_suffix=suffix))
         _MODELS.clear()
-        _MODELS[definition] = (library_tokenizer(definition), inner.model, final.model, suffix)
+        _MODELS[definition] = (inner.model, final.model, suffix)
     return _MODELS[definition]
 
 
@@ -82,7 +83,7 @@ def leaves_of(text: str, definition: str, leaf: int) -> Iterator[tuple[int, str]
         if len(part) <= leaf or any(name in part for name in special):
             yield _PLAIN, part
             continue
-        tokenizer = model_of(definition)[0]
+        tokenizer = encoder_for(definition).tokenizer
         normal = tokenizer.normalizer.normalize_str(part) if tokenizer.normalizer else part
         for symbols, _span in tokenizer.pre_tokenizer.pre_tokenize_str(normal):
             pieces = [symbols]
@@ -153,10 +154,10 @@ def _ahead(text: str, words: int) -> int:
 
 def encode_leaves(leaves: list[tuple[int, str]], definition: str) -> list[np.ndarray]:
     """Ids of each leaf alone."""
-    _tokenizer, inner, final, _suffix = model_of(definition)
     plain = [content for kind, content in leaves if kind == _PLAIN]
     offsets, ids = encoder_for(definition).encode(pa.array(plain, pa.string()))
     runs = iter(np.split(ids, offsets[1:-1]) if plain else [])
+    inner, final, _suffix = model_of(definition) if len(plain) < len(leaves) else (None, None, None)
     models = {_INNER: inner, _LAST: final}
     return [
         next(runs) if kind == _PLAIN else np.array([t.id for t in models[kind].tokenize(content)], np.uint32)
@@ -166,7 +167,7 @@ def encode_leaves(leaves: list[tuple[int, str]], definition: str) -> list[np.nda
 
 def join_leaves(leaves: list[tuple[int, str, np.ndarray]], definition: str) -> np.ndarray:
     """Ids of one text from its encoded leaves in order, joined pair by pair up the tree."""
-    tokenizer, inner, final, suffix = model_of(definition)
+    tokenizer = encoder_for(definition).tokenizer
     encode = lambda text: encoder_for(definition).encode(pa.array([text]))[1]
 
     def up(nodes: list, join: Callable):
@@ -186,6 +187,7 @@ def join_leaves(leaves: list[tuple[int, str, np.ndarray]], definition: str) -> n
         if kind is not None:
             piece.append([tokenizer.id_to_token(int(i)) for i in ids])
         if kind == _LAST:
+            inner, final, suffix = model_of(definition)
             tokens = up(piece, lambda a, b: join_fragments(a, b, inner, final, suffix))
             out.append(np.array([tokenizer.token_to_id(t) for t in tokens], np.uint32))
             piece = []
@@ -197,15 +199,27 @@ def _id_lists(offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
 
 
 def _decoded(lists: pa.Array, definition: str) -> pa.Array:
+    """Texts of lists of ids; null lists give empty ones. A call of the library gets ``_DECODED_IDS`` ids, or one list."""
     tokenizer, texts = encoder_for(definition).tokenizer, []
-    for at in range(0, len(lists), _DECODED_ROWS):
-        rows = [[] if x is None else x.tolist() for x in lists.slice(at, _DECODED_ROWS).to_numpy(zero_copy_only=False)]
-        texts += tokenizer.decode_batch(rows, skip_special_tokens=False)
-    return pa.array(texts, pa.string())
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(lists):
+        begun = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, begun + _DECODED_IDS, side="right")))
+        rows = [[] if x is None else x.tolist() for x in lists.slice(at, stop - at).to_numpy(zero_copy_only=False)]
+        texts.append(pa.array(tokenizer.decode_batch(rows, skip_special_tokens=False), pa.string()))
+        at = stop
+    return pa.concat_arrays(texts) if texts else pa.array([], pa.string())
 
 
 def encode(
-    df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", leaf: int = LEAF_CHARS, decoded: str | None = None
+    df: DataFrame,
+    tokenizer_path: str,
+    text: str = "text",
+    ids: str = "ids",
+    leaf: int = LEAF_CHARS,
+    decoded: str | None = None,
+    derived: Callable[[DataFrame], DataFrame] = lambda coded: coded,
 ) -> DataFrame:
     """``df`` with the token ids of ``text`` as an int array in the column ``ids``.
 
@@ -215,6 +229,8 @@ def encode(
     ``ids`` is replaced. An empty table gives an empty table. With ``decoded``
     the ids are decoded as well, into a column of that name; a text that is one
     leaf is then encoded and decoded by the same worker, with one tokenizer.
+    ``derived`` replaces ids and decoded text by what is wanted of them; for
+    long texts it does so before their rows are joined, so no ids are shuffled.
     """
     definition = df.sparkSession.sparkContext.broadcast(read_definition(tokenizer_path))
     body = F.coalesce(F.col(text), F.lit(""))
@@ -230,15 +246,15 @@ def encode(
         return pa.StructArray.from_arrays([lists, _decoded(lists, definition.value)], ["ids", "decoded"])
 
     short, long = df.where(F.length(body) <= leaf), df.where(F.length(body) > leaf).withColumn(_KEY, F.sha2(body, 256))
-    long = long.join(_long_ids(long, text, ids, definition, leaf), _KEY).drop(_KEY)
+    long = long.join(derived(_long_ids(long, text, ids, definition, leaf, decoded)), _KEY).drop(_KEY)
     if decoded is None:
-        return short.withColumn(ids, whole(body)).unionByName(long)
+        return derived(short.withColumn(ids, whole(body))).unionByName(long)
     coded = short.withColumn(_CODED, both(body)).withColumns({ids: F.col(f"{_CODED}.ids"), decoded: F.col(f"{_CODED}.decoded")})
-    return coded.drop(_CODED).unionByName(decode(long, tokenizer_path, ids, decoded))
+    return derived(coded.drop(_CODED)).unionByName(long)
 
 
-def _long_ids(long: DataFrame, text: str, ids: str, definition, leaf: int) -> DataFrame:
-    """``(key, ids)`` per distinct long text: leaves dealt over the tasks, then one small group per text."""
+def _long_ids(long: DataFrame, text: str, ids: str, definition, leaf: int, decoded: str | None) -> DataFrame:
+    """``(key, ids)``, if wanted with the decoded text, per distinct long text: leaves dealt over the tasks, then one small group per text."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,12 +284,16 @@ def _long_ids(long: DataFrame, text: str, ids: str, definition, leaf: int) -> Da
             strict=True,
         )
         got = join_leaves(list(leaves), definition.value)
-        return pa.table({_KEY: [key[0].as_py()], ids: _id_lists(np.array([0, len(got)]), got)})
+        lists = _id_lists(np.array([0, len(got)]), got)
+        found = {_KEY: [key[0].as_py()], ids: lists}
+        return pa.table(found if decoded is None else found | {decoded: _decoded(lists, definition.value)})
 
-    texts = long.groupBy(_KEY).agg(F.first(text).alias("content"))
-    leaves = texts.mapInArrow(split, _LEAF_SCHEMA).repartition(shuffle_width(long.sparkSession), _KEY, "leaf")
+    # Texts are cut where they are read, so only leaves are shuffled; those of repeated texts meet and count once.
+    leaves = long.select(_KEY, text).mapInArrow(split, _LEAF_SCHEMA).repartition(shuffle_width(long.sparkSession), _KEY, "leaf")
+    leaves = leaves.dropDuplicates([_KEY, "leaf"])
     encoded = leaves.withColumn("ids", one("kind", "content"))
-    return encoded.groupBy(_KEY).applyInArrow(join, f"{_KEY} string, `{ids}` array<int>")
+    schema = f"{_KEY} string, `{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")
+    return encoded.groupBy(_KEY).applyInArrow(join, schema)
 
 
 def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -289,11 +309,11 @@ def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "de
 
 def digests(df: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", leaf: int = LEAF_CHARS) -> DataFrame:
     """Per row of ``key``: number of ids, and SHA-256 of the ids in decimal and of the decoded text."""
-    coded = encode(df.select(key, text), tokenizer_path, text, "ids", leaf, "decoded").drop(text)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return coded.select(
-        key,
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(joined, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    columns = {
+        "n_tokens": F.size("ids").cast("bigint"),
+        "ids_sha256": F.sha2(joined, 256),
+        "decoded_sha256": F.sha2("decoded", 256),
+    }
+    digested = lambda coded: coded.withColumns(columns).drop("ids", "decoded")
+    return encode(df.select(key, text), tokenizer_path, text, "ids", leaf, "decoded", digested).select(key, *columns)

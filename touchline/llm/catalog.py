@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import bpe, fingerprints, merkle, near_dup, neighbours, packing, quality, token_files, toxicity, unit_dedup, url_rules, variants, warc
-from touchline.llm.common import table
-from touchline.sources.scratch import scratch_dir
+from touchline.llm.common import short_batches, table
+from touchline.sources.scratch import scratch_dir, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_BPE = "word_bpe_49k.json"
@@ -24,7 +24,9 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
+    digests = bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
+    with short_batches(spark):  # the small result is stored, so that the setting holds while the texts are coded
+        return staged(digests, "token-digests")
 
 
 def op2_bottom_k_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.sources.scratch import staged
 
 POSITION = "__llm_position"
+ARROW_ROWS = 1000
 _ROW_BITS = 33
 
 
@@ -19,6 +23,18 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
+    """Arrow batches to Python hold at most ``rows`` rows in what runs meanwhile, so long texts make no large ones."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """A hint that lets adaptive execution even out partitions before heavy work per row."""
     return df.hint("rebalance")
