@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm import catalog, near_dup, packing, quality, toxicity, unit_dedup
-from touchline.llm.common import table
+from touchline.llm.common import short_batches, table
 from touchline.sources.scratch import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -58,32 +58,33 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, catalog.tokenizer_file(catalog.BYTE_BPE), END_ID)
 
 
+def stored(name: str, stage: Stage) -> tuple[str, Stage]:
+    """The stage with its result stored before anyone reads it.
+
+    While it runs, also alone, Arrow batches to Python are short, so a batch
+    of long documents stays small in every Python worker.
+    """
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with short_batches(spark):
+            return staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+
+    return name, run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality classifier", good_quality),
-    ("toxicity", not_toxic),
-    ("minhash near-dedup", one_of_near_copies),
-    ("substring dedup", without_repeats),
-    ("best-fit packing", packed),
+    stored("quality classifier", good_quality),
+    stored("toxicity", not_toxic),
+    stored("minhash near-dedup", one_of_near_copies),
+    stored("substring dedup", without_repeats),
+    stored("best-fit packing", packed),
 ]
 ORACLE_SQL = None
 
 
-ARROW_ROWS = "1000"
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is stored before the next stage reads it.
-
-    While the stages run, Arrow batches to Python hold at most ``ARROW_ROWS``
-    rows, so a batch of long documents stays small in every Python worker; the
-    setting before is restored afterwards.
-    """
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-    try:
-        docs = table(spark, sf_dir, "documents")
-        for name, stage in STAGES:
-            docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    """All stages over ``documents``; each result is stored before the next stage reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for _name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
     return docs
