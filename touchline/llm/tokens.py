@@ -10,7 +10,6 @@ library whole.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from itertools import chain
@@ -62,14 +61,21 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+def _joined(words: pa.Array, separator: str) -> str:
+    """The words as one text; they become no Python strings of their own."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), separator)[0].as_py()
+
+
 class WordEncoder:
     """Encodes Arrow string arrays; see the module's text."""
 
     def __init__(self, definition: str) -> None:
-        parts = json.loads(definition)
+        from tokenizers import pre_tokenizers
+
+        # What the tokenizer knows is asked of it: the parsed definition would take more room than the tokenizer.
         self.tokenizer = library_tokenizer(definition)
-        self.special = [t["content"] for t in parts.get("added_tokens", [])]
-        self._joins_space = "ByteLevel" == (parts.get("pre_tokenizer") or {}).get("type")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._joins_space = isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         # In a byte-level vocabulary the space is written as this letter; only a word's first token has it in front.
         self._opens = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -109,6 +115,7 @@ class WordEncoder:
             offsets.append(found[1:] + offsets[-1][-1])
             ids.append(flat)
             at = stop
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
         return np.concatenate(offsets), np.concatenate(ids)
 
     def _whole(self, texts: pa.Array) -> pa.Array:
@@ -142,8 +149,7 @@ class WordEncoder:
             found = pc.index_in(words, value_set=self._words)
         if found.null_count:
             missing = words.filter(pc.is_null(found))
-            listed = missing.to_pylist()
-            parts = [self._encode_words(listed[i : i + _CALL_WORDS]) for i in range(0, len(listed), _CALL_WORDS)]
+            parts = [self._encode_words(missing.slice(i, _CALL_WORDS)) for i in range(0, len(missing), _CALL_WORDS)]
             sizes = np.concatenate([p[0] for p in parts])
             known = len(self._words)
             self._starts = np.concatenate([self._starts, len(self._pool) + np.cumsum(sizes) - sizes])
@@ -156,24 +162,24 @@ class WordEncoder:
             place = found.to_numpy(zero_copy_only=False)
         return self._starts[place], self._sizes[place], self._pool
 
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and ids of words as they stand inside a text. They go to the library as one text and are told apart again."""
         if self._joins_space:
-            joined = " " + " ".join(words)
+            joined = " " + _joined(words, " ")
             if not _SPACES_MEET.search(joined):
-                ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
+                ids = self._encode_alone([joined])[1]
                 starts = np.flatnonzero(self._opens[ids])
                 if len(starts) == len(words) and starts[0] == 0:
                     return np.diff(np.append(starts, len(ids))), ids
-            return self._encode_alone([" " + w for w in words])
-        joined = f" {_SEPARATOR} ".join(words)
+            return self._encode_alone([" " + w for w in words.to_pylist()])
+        joined = _joined(words, f" {_SEPARATOR} ")
         if len(self._separator) == 1 and joined.count(_SEPARATOR) == len(words) - 1:
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
+            ids = self._encode_alone([joined])[1]
             marks = ids == self._separator[0]
             if marks.sum() == len(words) - 1:
                 ends = np.append(np.flatnonzero(marks), len(ids))
                 return np.diff(np.append(-1, ends)) - 1, ids[~marks]
-        return self._encode_alone(words)
+        return self._encode_alone(words.to_pylist())
 
     def _encode_alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
