@@ -107,3 +107,22 @@ def test_empty_and_long(spark):
     got = sorted(tuple(r) for r in variants.variant_forms(frame).collect())
     assert got == brute(docs) and len(got) >= 1
     assert variants.variant_forms(frame.limit(0)).count() == 0
+
+
+def test_leaves_compare_bits_first_and_pairs_in_numpy():
+    """Equal to every pair checked letter by letter; candidates are no Python calls each."""
+    import pandas as pd
+
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choices("abcé", k=9)) for _ in range(600)} | {"a" * 9, "a" * 8 + "b"})
+    asked = sorted({*words, *(w[:k] + w[k + 1 :] for w in words for k in (0, 4, 8)), "aaaaaaaa"})
+    points = pd.DataFrame({"word": words})
+    queries = pd.DataFrame({"query": asked, "delete": [int(len(w) == 9) for w in asked]})
+    want = {(a, w) for a in asked for w in words if variants.one_edit(a, w)}
+    calls, one_edit = [], variants.one_edit
+    variants.one_edit = lambda a, b: calls.append(1) or one_edit(a, b)
+    try:
+        found = variants._leaf_pairs(points, queries)
+    finally:
+        variants.one_edit = one_edit
+    assert len(found) == len(want) and set(map(tuple, found.to_numpy())) == want and not calls

@@ -40,6 +40,10 @@ SALT = 32
 #: Points in a leaf of the local k-d tree, and queries compared with a leaf at once.
 LEAF_POINTS = 16
 LEAF_QUERIES = 2048
+#: Counts up to here are told apart by the bits that leaves are compared with first.
+BIT_LEVELS = 3
+#: Letters of candidate pairs compared at once.
+PAIR_LETTERS = 1 << 22
 #: Leaf cells of the distributed tree handed to one call of Python, on average.
 CELLS_PER_TASK = 16
 
@@ -155,7 +159,22 @@ def _vectors(words: list[str]) -> np.ndarray:
     return out
 
 
+def _bits(counts: np.ndarray) -> np.ndarray:
+    """Unary code of each row: one bit per letter and level that its count reaches, as 64-bit words.
+
+    Rows differ in at least as many counts as in bits, so bits never rule out a near row.
+    """
+    reached = np.concatenate([counts >= level for level in range(1, BIT_LEVELS + 1)], axis=1)
+    packed = np.packbits(reached, axis=1)
+    return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))).view(np.uint64)
+
+
 def kd_search(points: np.ndarray, queries: np.ndarray, downs: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs of ``_kd_pairs`` as tuples."""
+    return list(zip(*(x.tolist() for x in _kd_pairs(points, queries, downs)), strict=True))
+
+
+def _kd_pairs(points: np.ndarray, queries: np.ndarray, downs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, point) where the point has at most one count one higher and at most ``downs`` (0 or 1)
     counts one lower than the query, all others equal: what one edit can do. Found by a k-d tree.
 
@@ -165,9 +184,11 @@ def kd_search(points: np.ndarray, queries: np.ndarray, downs: np.ndarray) -> lis
     Each node splits on its widest dimension at the median; all queries walk
     the tree together and enter the other child only where one more (or one
     fewer) of that letter takes them there and such a step is left. Leaves
-    compare a bounded number of queries at a time.
+    compare a bounded number of queries at a time, by bits first and the few
+    that are left by counts.
     """
-    found: list[tuple[int, int]] = []
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    points_bits, queries_bits = _bits(points), _bits(queries)
     n = len(queries)
     stack = [(np.arange(len(points)), np.arange(n), np.ones(n, dtype=np.int8), downs.astype(np.int8))]
     while stack:
@@ -179,9 +200,13 @@ def kd_search(points: np.ndarray, queries: np.ndarray, downs: np.ndarray) -> lis
         if len(members) <= LEAF_POINTS or spread.max() == 0:
             for lo in range(0, len(asking), LEAF_QUERIES):
                 chunk = asking[lo : lo + LEAF_QUERIES]
-                far = np.abs(box[None, :, :] - queries[chunk][:, None, :]).sum(axis=2)
+                far = np.zeros((len(chunk), len(members)), np.int16)
+                for one, two in zip(queries_bits[chunk].T, points_bits[members].T, strict=True):
+                    far += np.bitwise_count(one[:, None] ^ two[None])
                 qi, pi = np.nonzero(far <= 1 + downs[chunk][:, None])
-                found.extend(zip(chunk[qi].tolist(), members[pi].tolist(), strict=True))
+                q, p = chunk[qi], members[pi]
+                near = np.abs(points[p] - queries[q]).sum(axis=1) <= 1 + downs[q]
+                found.append((q[near], p[near]))
             continue
         dim = int(spread.argmax())
         at = int(np.median(box[:, dim]))
@@ -200,7 +225,31 @@ def kd_search(points: np.ndarray, queries: np.ndarray, downs: np.ndarray) -> lis
             ups = ups_left - (~own & ~go_left)
             dns = downs_left - (~own & go_left)
             stack.append((part, asking[ok], ups[ok].astype(np.int8), dns[ok].astype(np.int8)))
-    return found
+    q, p = (np.concatenate(x) for x in zip(*found, strict=True))
+    return q, p
+
+
+def _letters(words: list[str], length: int) -> np.ndarray:
+    """One row of code points per word, filled up with zeros."""
+    return np.array(words, dtype=f"U{length}").view(np.uint32).reshape(len(words), length)
+
+
+def _one_edits(asked: list[str], words: list[str], q: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """``one_edit`` of every pair: words have one length, asked ones that length or one less."""
+    length = len(words[0])
+    left, right = _letters(asked, length), _letters(words, length)
+    shorter = np.fromiter(map(len, asked), np.int64, len(asked)) < length
+    good = np.zeros(len(q), bool)
+    step = max(1, PAIR_LETTERS // length)
+    for lo in range(0, len(q), step):
+        part = slice(lo, lo + step)
+        a, b, less = left[q[part]], right[p[part]], shorter[q[part]]
+        ahead, behind = a == b, a[:, :-1] == b[:, 1:]
+        # Letters that agree from the front, and from the back beside one more letter of the word.
+        front = np.where(ahead[:, :-1].all(axis=1), length - 1, ahead.argmin(axis=1))
+        back = np.where(behind.all(axis=1), length - 1, behind[:, ::-1].argmin(axis=1))
+        good[part] = np.where(less, front + back >= length - 1, (~ahead).sum(axis=1) == 1)
+    return good
 
 
 def _leaf_pairs(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -210,8 +259,9 @@ def _leaf_pairs(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     words, asked = points["word"].tolist(), queries["query"].tolist()
     points_at, asked_at = _vectors(words), _vectors(asked)
     used = points_at.any(axis=0) | asked_at.any(axis=0)  # letters absent from the whole cell change no distance
-    pairs = kd_search(points_at[:, used], asked_at[:, used], queries["delete"].to_numpy(dtype=np.int8))
-    kept = [(asked[q], words[p]) for q, p in pairs if one_edit(asked[q], words[p])]
+    q, p = _kd_pairs(points_at[:, used], asked_at[:, used], queries["delete"].to_numpy(dtype=np.int8))
+    good = _one_edits(asked, words, q, p)
+    kept = [(asked[i], words[j]) for i, j in zip(q[good].tolist(), p[good].tolist(), strict=True)]
     return pd.DataFrame(kept, columns=["word", "near"], dtype=str)
 
 
