@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm import catalog, near_dup, packing, quality, toxicity, unit_dedup
 from touchline.llm.common import short_batches, table
-from touchline.sources.scratch import staged
+from touchline.sources.scratch import passing, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 END_ID = 0
@@ -62,12 +62,13 @@ def stored(name: str, stage: Stage) -> tuple[str, Stage]:
     """The stage with its result stored before anyone reads it.
 
     While it runs, also alone, Arrow batches to Python are short, so a batch
-    of long documents stays small in every Python worker.
+    of long documents stays small in every Python worker. Tables staged on the
+    way go once the result is stored, which reads none of them.
     """
 
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        with short_batches(spark):
-            return staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with short_batches(spark), passing(spark):
+            return staged(stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
 
     return name, run_stage
 
