@@ -156,6 +156,26 @@ def test_pairs_under_the_distance_share_a_bucket():
         assert min(wrong[c].sum() for c in rule.chunks) <= 1
 
 
+def test_groups_take_the_place_of_many_shared_buckets(spark):
+    rows = [(100 + k, 60, k, node, node % 7) for k in range(40) for node in range(60)]  # one group in 40 buckets
+    rows += [(200, 2, 3, 70, 70), (200, 2, 3, 71, 71)]  # a pair in one bucket
+    rows += [(300 + k, 2, 5, 80 + k, 80 + k) for k in range(30)] + [(300 + k, 2, 5, 81 + k, 81 + k) for k in range(30)]  # a chain
+    parts = spark.createDataFrame(rows, "bucket long, n long, slot short, node long, component long")
+    got = near_dup._whole_groups(parts).collect()
+    assert sum(r.node < 60 for r in got) == 60  # 2,400 rows before
+
+    def meeting(rows):
+        buckets = {}
+        for bucket, _n, _slot, node, _component in rows:
+            buckets.setdefault(bucket, set()).add(node)
+        return {(a, b) for nodes in buckets.values() for a in nodes for b in nodes if a < b}
+
+    assert meeting(rows) <= meeting(got)
+    assert {(r.node, r.component) for r in got} == {(node, component) for *_, node, component in rows}
+    assert all(r.n == sum(x.bucket == r.bucket for x in got) for r in got)
+    assert len(got) <= len(rows)
+
+
 def test_components_of_chains_hubs_and_loops(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 400)] + [(500, 500), (601, 600), (600, 601)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

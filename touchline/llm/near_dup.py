@@ -12,8 +12,9 @@ Groups of any size are handled without all their pairs. Documents with equal
 sets are one class. In a few rounds each class is compared with its nearest
 bucket head of another component, each round in a few of the places. Only then are the remaining pairs looked at:
 pairs of different components, each in the first bucket it shares, large
-buckets in blocks. Pairs inside one component need no look, because they
-cannot change it.
+buckets in blocks. Texts that meet each other in many buckets are compared as
+one group instead, where that takes fewer rows. Pairs inside one component
+need no look, because they cannot change it.
 """
 
 from __future__ import annotations
@@ -32,12 +33,14 @@ from pyspark.sql import types as T
 from touchline.llm.common import shuffle_width
 from touchline.llm.components import components
 from touchline.llm.tokens import ranges
-from touchline.sources.scratch import staged
+from touchline.sources.scratch import passing, staged
 
 WIDTH = 128
 HEAD_ROUNDS = 5
 ROUND_SLOTS = 8
 BLOCK = 512
+GROUP_ROUNDS = 2
+WHOLE = -1
 FINE = 4096
 _DEVIATIONS = 5
 _TEXTS = 500
@@ -217,13 +220,42 @@ def confirm(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(body("a"), "a").join(body("b"), "b").where(alike("text_a", "text_b")).select("a", "b")
 
 
+def _whole_groups(parts: DataFrame) -> DataFrame:
+    """``parts`` (``bucket, n, slot, node, component``) with groups in place of buckets where that is less.
+
+    Members of a large group of near copies meet in nearly all their buckets,
+    so their signatures would travel, and each pair be compared, once per
+    bucket. A group holds the nodes that reach the same smallest node in
+    ``GROUP_ROUNDS`` steps. The buckets that lie in one group give way to it if
+    it takes no more rows and pairs than they do; all others stay. So any two
+    nodes that share a bucket share one afterwards or a group.
+    """
+    parts = staged(parts.select("bucket", "n", "slot", "node", "component"), "parts")
+    group = parts.select("node", F.col("node").alias("group")).distinct()
+    for _ in range(GROUP_ROUNDS):
+        least = parts.join(group, "node").groupBy("bucket").agg(F.min("group").alias("group"))
+        group = staged(parts.select("bucket", "node").join(least, "bucket").groupBy("node").agg(F.min("group").alias("group")), "groups")
+    size = lambda c: F.col(c).cast("double")
+    dealt = lambda c: size(c) * F.ceil(size(c) / BLOCK)
+    within = parts.join(group, "node").groupBy("bucket").agg(F.min("group").alias("group"), F.max("group").alias("most"), F.first("n").alias("n"))
+    within = staged(within.where("group = most").drop("most"), "within")
+    cost = within.groupBy("group").agg(F.sum(dealt("n")).alias("rows"), F.sum(size("n") * size("n")).alias("pairs"))
+    members = group.groupBy("group").agg(F.count(F.lit(1)).alias("m"))
+    chosen = members.join(cost, "group").where((dealt("m") <= F.col("rows")) & (size("m") * size("m") <= F.col("pairs")))
+    chosen = staged(chosen.select("group", "m"), "chosen")
+    replaced = within.join(chosen, "group").select("bucket")
+    nodes = parts.select("node", "component").distinct().join(group, "node").join(chosen, "group")
+    whole = nodes.select(F.xxhash64("group").alias("bucket"), F.col("m").alias("n"), F.lit(WHOLE).cast("short").alias("slot"), "node", "component")
+    return parts.join(replaced, "bucket", "left_anti").unionByName(whole)
+
+
 def _residual(mixed: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different components under the distance, each from the first bucket it shares.
 
     ``mixed`` has ``(bucket, low, high, own, slot, node, component, signature,
     fine)`` dealt out and sorted by the first three; ``own`` is the row's
-    block. The fine signature keeps pairs that only just miss the similarity
-    from the full comparison.
+    block. Groups (slot ``WHOLE``) give every pair. The fine signature keeps
+    pairs that only just miss the similarity from the full comparison.
     """
     chunks, limit, fine_limit = rule.chunks, rule.distance, rule.fine_distance
     heads = np.array([c[0] for c in chunks])
@@ -248,7 +280,7 @@ def _residual(mixed: DataFrame, rule: Rule) -> DataFrame:
                 chunk = np.argmax(errors <= 1, axis=1)
                 begin = heads[chunk]
                 slot = np.array([s + int(np.argmax(row[s : s + len(chunks[c])])) for s, c, row in zip(begin, chunk, differ, strict=True)], np.int64)
-                once = slot == rows["slot"][a] if len(a) else np.zeros(0, bool)
+                once = (slot == rows["slot"][a]) | (rows["slot"][a] == WHOLE) if len(a) else np.zeros(0, bool)
                 if once.any():
                     x, y = rows["node"][a[once]], rows["node"][b[once]]
                     yield np.stack([np.maximum(x, y), np.minimum(x, y)])
@@ -317,10 +349,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
     versions = filled.join(same.select("key"), "key").join(classes, "set_hash").select(F.col("key").alias("a"), F.col("node").alias("b"))
     links = staged(versions, "links")
 
-    def labelled() -> DataFrame:
-        found = components(links)
-        joined = shared.join(found, shared["node"] == found["node"], "left").drop(found["node"])
-        return staged(joined.withColumn("component", F.coalesce("component", "node")), "labelled")
+    def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The buckets with their components, and the components as links, which are stars already."""
+        with passing(docs.sparkSession):  # the stored edges of all rounds of components
+            found = staged(components(links), "stars", keep=True)
+            joined = shared.join(found, shared["node"] == found["node"], "left").drop(found["node"])
+            joined = staged(joined.withColumn("component", F.coalesce("component", "node")), "labelled", keep=True)
+        return joined, found.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
     def mixed_buckets(rows: DataFrame, seed: int) -> DataFrame:
         head = F.struct(F.xxhash64(F.col("node"), F.lit(seed)), "node", "component")
@@ -329,7 +364,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
         )
         return grouped.where("x < y").select("bucket", "n", F.col("head.node").alias("b"), F.col("head.component").alias("of"))
 
-    rows = labelled()
+    rows, links = labelled(links)
     for turn in range(HEAD_ROUNDS):
         # A few slots a round, so that a member of a large group meets a few heads and not one per bucket.
         some = rows.where(F.col("slot") % (WIDTH // ROUND_SLOTS) == turn)
@@ -339,15 +374,15 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", t
         found = staged(confirm(nearest.select("a", "s.b"), bodies, rule), "links")
         if found.isEmpty():
             continue
-        links = links.unionByName(found)
-        rows = labelled()
+        rows, links = labelled(links.unionByName(found))
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+
     @F.arrow_udf(T.BinaryType())
     def fine(texts: pa.Array) -> pa.Array:
         return pa.array([fine_signature(x) for x in shingle_sets(texts, rule.words)], pa.binary())
 
-    parts = rows.join(mixed_buckets(rows, 0).select("bucket", "n"), "bucket")
+    parts = _whole_groups(rows.join(mixed_buckets(rows, 0).select("bucket", "n"), "bucket"))
     left = parts.select("node").distinct()
     detail = marks.join(left, "node", "left_semi").join(bodies, "node").select("node", "signature", fine("body").alias("fine"))
     parts = parts.join(staged(detail, "detail"), "node")
