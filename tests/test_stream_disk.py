@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.plans import stream_queries
 from touchline.sources import files, scratch
@@ -28,6 +29,16 @@ def test_lines_are_not_shuffled(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_listed_files_are_opened_for_their_own_kind_only(spark, tmp_path):
+    for name, text in {"lines": '\n{"id": 1}\nno\n', "a b": '[{"id": 2},\r\n7]', "one": '{\n"id": 3\n}', "blank": "\n \n"}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    (tmp_path / "packed.json.gz").write_bytes(gzip.compress(b'{"id": 4}\n{"id": 5}'))
+    listed = files.json_texts(spark, [str(f) for f in tmp_path.iterdir()], keep=lambda _path: F.lit(True))
+    folder = files.json_texts(spark, str(tmp_path), keep=lambda _path: F.lit(True))
+    assert sorted(map(str, listed.collect())) == sorted(map(str, folder.collect())) and listed.count() == 8
+    assert "LeftSemi" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_compressed_files_are_read_and_only_texts_of_failed_rows_wait(spark, tmp_path, monkeypatch):
     for name, text in {"lines": f"{GOOD}\n{BAD}\n", "array": f"[\n{GOOD},\n{BAD}\n]"}.items():
         (tmp_path / f"{name}.json.gz").write_bytes(gzip.compress(text.encode()))
