@@ -39,6 +39,29 @@ def test_listed_files_are_opened_for_their_own_kind_only(spark, tmp_path):
     assert "LeftSemi" not in listed._jdf.queryExecution().executedPlan().toString()
 
 
+def test_kinds_of_files_are_found_without_sorting_texts(spark, tmp_path, monkeypatch):
+    (tmp_path / "splits.json").write_text("\n" * 300 + "\n".join(json.dumps({"id": i}) for i in range(100)))
+    (tmp_path / "broken.json").write_text("\nno\n" + "\n".join(json.dumps({"id": i}) for i in range(100, 200)))
+    plans = []
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return scratch.staged(df, label)
+
+    monkeypatch.setattr(files, "staged", seen)
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for name in before:
+        spark.conf.set(name, "64")
+    try:
+        texts = files.json_texts(spark, str(tmp_path))
+        assert sorted(json.loads(r.text)["id"] for r in texts.where("reason IS NULL").collect()) == list(range(200))
+        assert [r.text for r in texts.where("reason IS NOT NULL").collect()] == ["no"]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(plans) == 1 and "SortAggregate" not in plans[0]
+
+
 def test_compressed_files_are_read_and_only_texts_of_failed_rows_wait(spark, tmp_path, monkeypatch):
     for name, text in {"lines": f"{GOOD}\n{BAD}\n", "array": f"[\n{GOOD},\n{BAD}\n]"}.items():
         (tmp_path / f"{name}.json.gz").write_bytes(gzip.compress(text.encode()))
